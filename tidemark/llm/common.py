@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORDS = rb"[^\x20\x09-\x0D]+"
@@ -98,3 +98,15 @@ def components(edges: DataFrame, tag: str = "components", most: int = 60) -> Dat
     else:
         raise RuntimeError(f"components did not settle in {most} rounds")
     return e.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))
+
+
+def numbered(df: DataFrame, order: list[str], value: str, start: str, tag: str) -> DataFrame:
+    """Writes df in ascending order and adds `start`, the sum of `value` over all rows before each, and `part`, the range it lies in.
+
+    Ranges are sorted apart; only one sum for each range comes together.
+    """
+    kept = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), tag)
+    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = kept.groupBy("part").agg(F.sum(value).alias("_sum")).select("part", F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_base"))
+    inner = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return kept.join(F.broadcast(base), "part").withColumn(start, F.col("_base") + F.coalesce(F.sum(value).over(inner), F.lit(0))).drop("_base")
