@@ -51,7 +51,7 @@ def _phrases(width: int, gram: int):
 
 
 def _bodies(width: int):
-    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("rid", pa.int64()), ("pos", pa.int64()), ("body", pa.binary())])
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("rid", pa.int64()), ("pos", pa.int64()), ("m", pa.int64()), ("body", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -60,7 +60,7 @@ def _bodies(width: int):
                 words = text.encode().split()
                 for x in asked:
                     first = x["pos"] >> 8
-                    out.append((x["h"], x["c"], rid, x["pos"], b" ".join(words[first : first + (x["pos"] & 255) + width])))
+                    out.append((x["h"], x["c"], rid, x["pos"], x["m"], b" ".join(words[first : first + (x["pos"] & 255) + width])))
             for part in common.in_blocks(iter(out), 5000):
                 yield common.record_batch(schema, part)
 
@@ -160,18 +160,25 @@ class FingerprintLog:
         firsts = rows.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("at")).select("h", "c", "n", "at.rid", "at.pos")
         firsts = common.materialize(firsts.repartitionByRange("h", "c").sortWithinPartitions("h", "c"), "run")
         run, old = firsts.drop("n"), self.history()
-        fresh = run
-        seen = firsts.where("n > 1").select("h", "c", F.col("rid").alias("rid0"), F.col("pos").alias("pos0"))
         if old is not None:
-            fresh = run.join(old.select("h", "c"), ["h", "c"], "left_anti")
-            known = run.join(old.select("h", "c"), ["h", "c"], "left_semi").select("h", "c", F.lit(None).cast("long").alias("rid0"), F.lit(None).cast("long").alias("pos0"))
-            seen = seen.join(old.select("h", "c"), ["h", "c"], "left_anti").union(known)
-        both = fresh.withColumn("new", F.lit(True)) if old is None else fresh.withColumn("new", F.lit(True)).union(old.join(fresh.select("h").distinct(), "h", "left_semi").withColumn("new", F.lit(False)))
-        mixed = both.groupBy("h").agg(F.count("*").alias("m"), F.max("new").alias("any")).where("m > 1 AND any").select("h", "m")
-        compared = common.materialize(both.join(mixed, "h"), "compared")
+            # One merge join with the log tells known phrases from new ones.
+            firsts = common.materialize(firsts.join(old.select("h", "c", F.lit(True).alias("known")), ["h", "c"], "left"), "run")
+        else:
+            firsts = firsts.withColumn("known", F.lit(None).cast("boolean"))
+        fresh = firsts.where("known IS NULL").select("h", "c", "rid", "pos")
+        place = lambda c: F.when(F.col("known").isNull(), F.col(c))
+        seen = firsts.where("n > 1 OR known").select("h", "c", place("rid").alias("rid0"), place("pos").alias("pos0"))
+        mixed = fresh.groupBy("h").agg(F.count("*").alias("m"))
+        if old is not None:
+            mixed = mixed.join(old.groupBy("h").agg(F.count("*").alias("m_old")), "h", "left").select("h", (F.col("m") + F.coalesce("m_old", F.lit(0))).alias("m"))
+        mixed = common.materialize(mixed.where("m > 1"), "mixed")
+        compared = fresh.join(mixed, "h").withColumn("new", F.lit(True))
+        if old is not None:
+            compared = compared.union(old.join(mixed, "h").withColumn("new", F.lit(False)))
+        compared = common.materialize(compared, "compared")
         asked = compared.groupBy("rid").agg(F.collect_list(F.struct("h", "c", "pos", "m")).alias("asked"))
-        bodies = texts.select("rid", "text").join(asked, "rid").mapInArrow(_bodies(self.width), "h long, c long, rid long, pos long, body binary")
-        bodies = common.materialize(bodies.join(mixed, "h"), "bodies")
+        bodies = texts.select("rid", "text").join(asked, "rid").mapInArrow(_bodies(self.width), "h long, c long, rid long, pos long, m long, body binary")
+        bodies = common.materialize(bodies, "bodies")
         fit = bodies.where(F.col("m") <= self.group_limit).drop("m").repartition("h").sortWithinPartitions("h").mapInArrow(_inside(self.width), "h long, c long, hits binary")
         windows = bodies.where(F.col("m") > self.group_limit).drop("m").mapInArrow(_exploded(self.width), "h long, w1 long, w2 long, c long, k int, rid long, pos long")
         least = windows.groupBy("h", "w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("at")).where("n > 1").select("h", "w1", "w2", F.col("at.rid").alias("rid0"), F.col("at.pos").alias("pos0"))
