@@ -25,7 +25,7 @@ from tidemark.llm.encoding import encoder, tokenizer_path
 
 CAPACITY = 4096
 END_ID = 1
-SALT_ROWS = 100_000
+SALT_ROWS = 2_000
 _PIECES = "rid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
