@@ -158,13 +158,13 @@ class FingerprintLog:
         made = common.materialize(batch.where(F.octet_length("text") >= 2 * self.width - 1).mapInArrow(_phrases(self.width, self.gram), _ROWS), "phrases")
         rows = made.where("h IS NOT NULL").drop("n")
         firsts = rows.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("at")).select("h", "c", "n", "at.rid", "at.pos")
-        firsts = common.materialize(firsts.repartitionByRange("h", "c").sortWithinPartitions("h", "c"), "run")
-        run, old = firsts.drop("n"), self.history()
+        old = self.history()
         if old is not None:
             # One merge join with the log tells known phrases from new ones.
-            firsts = common.materialize(firsts.join(old.select("h", "c", F.lit(True).alias("known")), ["h", "c"], "left"), "run")
+            firsts = firsts.join(old.select("h", "c", F.lit(True).alias("known")), ["h", "c"], "left")
         else:
             firsts = firsts.withColumn("known", F.lit(None).cast("boolean"))
+        firsts = common.materialize(firsts.repartitionByRange("h", "c").sortWithinPartitions("h", "c"), "run")
         fresh = firsts.where("known IS NULL").select("h", "c", "rid", "pos")
         place = lambda c: F.when(F.col("known").isNull(), F.col(c))
         seen = firsts.where("n > 1 OR known").select("h", "c", place("rid").alias("rid0"), place("pos").alias("pos0"))
@@ -187,7 +187,7 @@ class FingerprintLog:
         everything = F.lit(None).cast("binary").alias("hits")
         later = rows.join(seen, ["h", "c"]).where("rid0 IS NULL OR rid <> rid0 OR pos <> pos0").select("rid", "pos", everything)
         marks = inside.union(later).union(made.where("h IS NULL").select("rid", "pos", everything)).groupBy("rid").agg(F.collect_list(F.struct("pos", "hits")).alias("marks"))
-        self.runs.append((0, run if old is None else common.materialize(fresh.sortWithinPartitions("h", "c"), "run")))
+        self.runs.append((0, fresh))  # the written run without what the log had already
         self.compact()
         return batch.join(marks, "rid", "left").select("doc_id", "text", "marks").mapInArrow(_apply(self.width), _RESULT)
 
