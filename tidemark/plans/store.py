@@ -103,7 +103,8 @@ class Champion:
 
     def __init__(self, registry: Registry, load, ttl: float = 60, clock=time.monotonic):
         self.registry, self.load, self.ttl, self.clock = registry, load, ttl, clock
-        self.name = self.model = None
+        self.name = self.model = self.last_error = None
+        self.reloads = self.failed_reloads = 0
         self.looked = -float("inf")
 
     def get(self):
@@ -113,7 +114,10 @@ class Champion:
                 name = self.registry.resolve()
                 if name != self.name:
                     self.model, self.name = self.load(name), name
-            except Exception:
+                    self.reloads += 1
+                self.last_error = None
+            except Exception as e:
+                self.failed_reloads, self.last_error = self.failed_reloads + (not isinstance(e, AliasNotSet)), str(e)
                 if self.model is None:
                     raise
         return self.model
