@@ -28,7 +28,7 @@ from tidemark.llm.suffix_dedup import _bitmaps, _groups, preaggregated, suffix_r
 
 WIDTH = 20
 GRAM = 4
-GROUP_LIMIT = 10_000
+GROUP_LIMIT = 2000
 BATCHES = 2
 _ROWS = "h long, c long, rid long, pos long, n long"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<long>"

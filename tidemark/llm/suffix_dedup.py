@@ -28,7 +28,7 @@ from tidemark.llm import common, rolling
 
 LENGTH = 200
 GRAM = 32
-GROUP_LIMIT = 10_000
+GROUP_LIMIT = 2000
 _PARSE = "h long, c long, rid long, pos long, n long"
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>"
 
