@@ -30,7 +30,7 @@ def corpus(seed):
     return rows + [(200 + k, f"{k:04d}" * 9 + "common line " * 6 + f"{k:05d}" * 9) for k in range(30)]
 
 
-@pytest.mark.parametrize("length, gram, limit", [(200, 32, 2000), (40, 12, 2000), (64, 16, 3)])
+@pytest.mark.parametrize("length, gram, limit", [(200, 32, 2000), (200, 32, 1), (40, 12, 2000), (64, 16, 3)])
 def test_against_brute_force(spark, length, gram, limit):
     rows = corpus(length)
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS h", "2 AS c", "3 AS pos", "4 AS th")

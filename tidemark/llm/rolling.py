@@ -121,3 +121,19 @@ def anchors(symbols: np.ndarray, pieces: list[tuple[int, int, int]], window: int
     c = mix(two.of(first, last + window) + (at - first).astype(np.uint64) * np.uint64(_ODD[0]))
     piece = np.searchsorted(edge, first, "right") - 1
     return {"piece": piece, "h": h[at].view(np.int64), "c": c.view(np.int64), "first": first - edge[piece] + np.array([s for _, s, _ in pieces])[piece], "count": last - first + 1}
+
+
+def offset_runs(symbols: np.ndarray, window: int, gram: int, step: int) -> tuple[np.ndarray, ...]:
+    """Cuts all that the windows of one anchor cover into runs of windows by the anchor's offset in them, `step` offsets to a run.
+
+    Returned per run: its number, core (hash of what any window of these offsets covers around the anchor), cover (independent hash of all
+    that the run's windows cover, with its place), first (start of the first window) and count (of windows).
+    """
+    one, two = Hashes(symbols, 0), Hashes(symbols, 1)
+    at, last = int(np.argmin(one.every(gram)[: window - gram + 1] & ~_MASK)), len(symbols) - window
+    p = np.arange((at - last) // step, at // step + 1)
+    head = at - p * step
+    first, end = np.maximum(head - step + 1, 0), np.minimum(head, last)
+    core = one.of(head, head - step + 1 + window)
+    cover = mix(two.of(first, end + window) + (at - first).astype(np.uint64) * np.uint64(_ODD[0]))
+    return p.astype(np.int32), core.view(np.int64), cover.view(np.int64), first.astype(np.int32), (end - first + 1).astype(np.int32)

@@ -9,7 +9,7 @@ equal or its phrase occurs more than once. The parse then carries the repeated w
 
 Scale. One text pass makes about one row for 65 bytes. Counts are partial aggregations on (trigger) and (trigger, phrase); the joins that
 lead back are plain equi-joins that AQE may split. Trigger groups with more than `group_limit` distinct phrases go another, equally exact
-way: their window hashes are aggregated as rows, so no task holds such a group.
+way: their phrases are cut into runs of windows by the trigger's offset, which are counted as rows, so no task holds such a group.
 
 Defined cases. Null text: empty. Texts under `length` bytes: nothing is removed. Null ids are kept as null, rows that repeat an id and a
 text count as two documents, an empty table gives an empty result; other columns are ignored.
@@ -18,6 +18,7 @@ text count as two documents, an empty table gives an empty result; other columns
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -120,21 +121,56 @@ def _inside(length: int):
     return run
 
 
+def _pieces(length: int, gram: int, step: int):
+    """For oversized groups: each phrase cut into runs of windows by the trigger's offset in them."""
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("n", pa.int64()), ("p", pa.int32()), ("core", pa.int64()), ("cover", pa.int64()), ("k", pa.int32()), ("m", pa.int32())])
+
+    def run(batches):
+        for batch in batches:
+            bodies = batch.column("body").to_pylist()
+            made = [rolling.offset_runs(np.frombuffer(x, np.uint8), length, gram, step) for x in bodies]
+            if made:
+                count = [len(x[0]) for x in made]
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(batch.column(x).to_numpy(), count)) for x in ("h", "c", "n")), *(pa.array(np.concatenate(x)) for x in zip(*made, strict=True))], schema=schema)
+
+    return run
+
+
 def _exploded(length: int):
-    """For oversized groups: a row for each window, told apart by two independent hashes."""
-    schema = pa.schema([("h", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("c", pa.int64()), ("k", pa.int32()), ("n", pa.int64())])
+    """A row for each window of the runs that are asked for, told apart by two independent hashes; single: the run occurs once."""
+    schema = pa.schema([("h", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("c", pa.int64()), ("k", pa.int32()), ("n", pa.int64()), ("single", pa.bool_())])
 
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 raw = np.frombuffer(r["body"], np.uint8)
-                one, two = (rolling.Hashes(raw, k).every(length).view(np.int64) for k in (0, 1))
-                m = len(one)
-                yield pa.RecordBatch.from_arrays([pa.array([r["h"]] * m, pa.int64()), pa.array(one), pa.array(two), pa.array([r["c"]] * m, pa.int64()), pa.array(np.arange(m, dtype=np.int32)), pa.array([r["n"]] * m, pa.int64())], schema=schema)
+                k = np.concatenate([np.arange(x["k"], x["k"] + x["m"]) for x in r["runs"]])
+                n = np.repeat([x["n"] for x in r["runs"]], [x["m"] for x in r["runs"]])
+                one, two = (rolling.Hashes(raw, w).of(k, k + length).view(np.int64) for w in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array([r["h"]] * len(k), pa.int64()), pa.array(one), pa.array(two), pa.array([r["c"]] * len(k), pa.int64()), pa.array(k, pa.int32()), pa.array(n, pa.int64()), pa.array(n == 1)], schema=schema)
 
     return run
 
 
+def _oversized(bodies: DataFrame, length: int, gram: int) -> DataFrame:
+    """h, c, hits for the phrases of oversized groups, without any group in one task.
+
+    Equal windows hold their trigger at one offset, so runs of windows are compared by offset: a run that occurs twice repeats as a whole, a
+    run whose core no other run shares does not repeat, and only the runs left are compared window by window.
+    """
+    step = math.isqrt(length - gram + 1)
+    pieces = common.materialize(bodies.mapInArrow(_pieces(length, gram, step), "h long, c long, n long, p int, core long, cover long, k int, m int"), "pieces")
+    covers = common.materialize(pieces.groupBy("h", "p", "core", "cover").agg(F.sum("n").alias("n"), F.min(F.struct("c", "k", "m")).alias("at")).select("h", "p", "core", "cover", "n", "at.*"), "covers")
+    open_cores = covers.groupBy("h", "p", "core").agg(F.count("*").alias("t"), F.min("n").alias("least")).where("t > 1 AND least = 1").select("h", "p", "core")
+    runs = covers.join(open_cores, ["h", "p", "core"]).groupBy("h", "c").agg(F.collect_list(F.struct("k", "m", "n")).alias("runs"))
+    windows = bodies.select("h", "c", "body").join(runs, ["h", "c"]).mapInArrow(_exploded(length), "h long, w1 long, w2 long, c long, k int, n long, single boolean")
+    windows = common.materialize(windows, "windows")
+    twice = windows.groupBy("h", "w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+    found = windows.where("single").join(twice, ["h", "w1", "w2"]).select("h", "c", "k", F.lit(1).alias("m"))
+    whole = pieces.join(covers.where("n > 1").select("h", "p", "core", "cover"), ["h", "p", "core", "cover"]).select("h", "c", "k", "m")
+    return found.union(whole).groupBy("h", "c").agg(F.collect_list(F.struct("k", "m")).alias("runs")).mapInArrow(_bitmaps, "h long, c long, hits binary")
+
+
 def _bodies(length: int):
     """The bytes of the phrases that are asked for, from their documents."""
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
@@ -195,9 +231,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     size = dictionary.groupBy("h").agg(F.count("*").alias("m"))
     bodies = common.materialize(bodies.join(size, "h"), "bodies")
     fit = bodies.where(F.col("m") <= group_limit).drop("m").repartition("h").sortWithinPartitions("h").mapInArrow(_inside(length), "h long, c long, hits binary")
-    windows = bodies.where(F.col("m") > group_limit).drop("m").mapInArrow(_exploded(length), "h long, w1 long, w2 long, c long, k int, n long")
-    twice = windows.groupBy("h", "w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
-    large = windows.join(twice, ["h", "w1", "w2"]).groupBy("h", "c").agg(F.collect_set("k").alias("ks")).mapInArrow(_bitmaps, "h long, c long, hits binary")
+    large = _oversized(bodies.where(F.col("m") > group_limit).drop("m"), length, gram)
     everything = F.lit(None).cast("binary").alias("hits")
     # A phrase that occurs twice repeats as a whole, whatever is found inside it.
     inside = dictionary.where("n = 1").select("h", "c").join(fit.union(large), ["h", "c"]).union(dictionary.where("n > 1").select("h", "c", everything))
@@ -210,9 +244,10 @@ def _bitmaps(batches):
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("hits", pa.binary())])
     for batch in batches:
         rows = []
-        for h, c, ks in zip(*common.columns(batch, "h", "c", "ks"), strict=True):
-            bits = np.zeros(max(ks) + 1, np.uint8)
-            bits[ks] = 1
+        for h, c, runs in zip(*common.columns(batch, "h", "c", "runs"), strict=True):
+            bits = np.zeros(max(x["k"] + x["m"] for x in runs), np.uint8)
+            for x in runs:
+                bits[x["k"] : x["k"] + x["m"]] = 1
             rows.append((h, c, np.packbits(bits).tobytes()))
         yield common.record_batch(schema, rows)
 
