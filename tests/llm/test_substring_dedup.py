@@ -29,7 +29,7 @@ def corpus(seed):
     return rows + [(1200 + k, " ".join(f"{k}-{j}" for j in range(9)) + " a common line of ten words is in this place " + " ".join(f"{k}+{j}" for j in range(9))) for k in range(30)]
 
 
-@pytest.mark.parametrize("width, gram, limit, batches, fanout", [(20, 4, 2000, 2, 4), (8, 2, 3, 4, 2), (5, 5, 2000, 1, 2)])
+@pytest.mark.parametrize("width, gram, limit, batches, fanout", [(20, 4, 2000, 2, 4), (20, 4, 1, 2, 4), (8, 2, 3, 4, 2), (5, 5, 2000, 1, 2)])
 def test_against_brute_force(spark, width, gram, limit, batches, fanout):
     rows = corpus(width)
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS h", "2 AS c", "3 AS pos", "4 AS rid")

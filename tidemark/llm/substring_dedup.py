@@ -7,7 +7,7 @@ go as a whole) and on h (phrases that share an anchor without being equal), and
 same words start earlier. Then the run joins the log and runs of one level are compacted when `fanout` have gathered.
 
 Scale. A row for about seven words, aggregated inside a task first, so a phrase in a third of all rows leaves a task once. Joins are plain
-equi-joins; groups of an anchor with more than `group_limit` phrases are compared as aggregated window rows instead of in one task.
+equi-joins; groups of an anchor with more than `group_limit` phrases are cut into runs of windows that are counted as rows, not in one task.
 
 Defined cases. Null text: no words. Texts under `width` words keep all. Null ids come first and ties of ids go by text; an empty table
 gives an empty result; other columns are ignored.
@@ -16,6 +16,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -91,20 +92,60 @@ def _inside(width: int):
     return run
 
 
+def _symbols(body: bytes) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, body.split(b" ")), np.uint64)
+
+
+def _pieces(width: int, gram: int, step: int):
+    """For oversized groups: each phrase cut into runs of windows by the anchor's offset in them."""
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("rid", pa.int64()), ("pos", pa.int64()), ("p", pa.int32()), ("core", pa.int64()), ("cover", pa.int64()), ("k", pa.int32()), ("m", pa.int32())])
+
+    def run(batches):
+        for batch in batches:
+            made = [rolling.offset_runs(_symbols(x), width, gram, step) for x in batch.column("body").to_pylist()]
+            if made:
+                count = [len(x[0]) for x in made]
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(batch.column(x).to_numpy(), count)) for x in ("h", "c", "rid", "pos")), *(pa.array(np.concatenate(x)) for x in zip(*made, strict=True))], schema=schema)
+
+    return run
+
+
 def _exploded(width: int):
+    """A row for each window of the runs that are asked for, told apart by two independent hashes."""
     schema = pa.schema([("h", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("c", pa.int64()), ("k", pa.int32()), ("rid", pa.int64()), ("pos", pa.int64())])
 
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                words = np.fromiter(map(xxhash.xxh3_64_intdigest, r["body"].split(b" ")), np.uint64)
-                one, two = (rolling.Hashes(words, k).every(width).view(np.int64) for k in (0, 1))
-                m = len(one)
-                yield pa.RecordBatch.from_arrays([pa.array([r["h"]] * m, pa.int64()), pa.array(one), pa.array(two), pa.array([r["c"]] * m, pa.int64()), pa.array(np.arange(m, dtype=np.int32)), pa.array([r["rid"]] * m, pa.int64()), pa.array([r["pos"]] * m, pa.int64())], schema=schema)
+                words = _symbols(r["body"])
+                k = np.concatenate([np.arange(x["k"], x["k"] + x["m"]) for x in r["runs"]])
+                one, two = (rolling.Hashes(words, w).of(k, k + width).view(np.int64) for w in (0, 1))
+                m = len(k)
+                yield pa.RecordBatch.from_arrays([pa.array([r["h"]] * m, pa.int64()), pa.array(one), pa.array(two), pa.array([r["c"]] * m, pa.int64()), pa.array(k, pa.int32()), pa.array([r["rid"]] * m, pa.int64()), pa.array([r["pos"]] * m, pa.int64())], schema=schema)
 
     return run
 
 
+def _oversized(bodies: DataFrame, width: int, gram: int) -> DataFrame:
+    """h, c, hits for the phrases of oversized groups, without any group in one task.
+
+    Equal windows hold their anchor at one offset, so runs of windows are compared by offset: of equal runs all but the earliest go as a
+    whole, a run whose core no other run shares stays, and only the earliest of the runs left are compared window by window.
+    """
+    step, earliest = math.isqrt(width - gram + 1), F.min(F.struct("rid", "pos", "c", "k", "m")).alias("at")
+    pieces = common.materialize(bodies.mapInArrow(_pieces(width, gram, step), "h long, c long, rid long, pos long, p int, core long, cover long, k int, m int"), "pieces")
+    covers = common.materialize(pieces.groupBy("h", "p", "core", "cover").agg(F.count("*").alias("n"), earliest).select("h", "p", "core", "cover", "n", "at.*"), "covers")
+    shared = covers.groupBy("h", "p", "core").agg(F.count("*").alias("t")).where("t > 1").select("h", "p", "core")
+    runs = covers.join(shared, ["h", "p", "core"]).groupBy("h", "c").agg(F.collect_list(F.struct("k", "m")).alias("runs"))
+    windows = bodies.join(runs, ["h", "c"]).mapInArrow(_exploded(width), "h long, w1 long, w2 long, c long, k int, rid long, pos long")
+    windows = common.materialize(windows, "windows")
+    least = windows.groupBy("h", "w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("at")).where("n > 1").select("h", "w1", "w2", F.col("at.rid").alias("rid0"), F.col("at.pos").alias("pos0"))
+    late = windows.join(least, ["h", "w1", "w2"]).where("rid <> rid0 OR pos <> pos0").select("h", "c", "k", F.lit(1).alias("m"))
+    again = covers.where("n > 1").select("h", "p", "core", "cover", F.col("c").alias("c0"))
+    whole = pieces.join(again, ["h", "p", "core", "cover"]).where("c <> c0").select("h", "c", "k", "m")
+    return late.union(whole).groupBy("h", "c").agg(F.collect_list(F.struct("k", "m")).alias("runs")).mapInArrow(_bitmaps, "h long, c long, hits binary")
+
+
 def _apply(width: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.int64()))])
 
@@ -180,9 +221,7 @@ class FingerprintLog:
         bodies = texts.select("rid", "text").join(asked, "rid").mapInArrow(_bodies(self.width), "h long, c long, rid long, pos long, m long, body binary")
         bodies = common.materialize(bodies, "bodies")
         fit = bodies.where(F.col("m") <= self.group_limit).drop("m").repartition("h").sortWithinPartitions("h").mapInArrow(_inside(self.width), "h long, c long, hits binary")
-        windows = bodies.where(F.col("m") > self.group_limit).drop("m").mapInArrow(_exploded(self.width), "h long, w1 long, w2 long, c long, k int, rid long, pos long")
-        least = windows.groupBy("h", "w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("at")).where("n > 1").select("h", "w1", "w2", F.col("at.rid").alias("rid0"), F.col("at.pos").alias("pos0"))
-        late = windows.join(least, ["h", "w1", "w2"]).where("rid <> rid0 OR pos <> pos0").groupBy("h", "c").agg(F.collect_set("k").alias("ks")).mapInArrow(_bitmaps, "h long, c long, hits binary")
+        late = _oversized(bodies.where(F.col("m") > self.group_limit).drop("m"), self.width, self.gram)
         inside = compared.where("new").select("h", "c", "rid", "pos").join(fit.union(late), ["h", "c"]).select("rid", "pos", "hits")
         everything = F.lit(None).cast("binary").alias("hits")
         later = rows.join(seen, ["h", "c"]).where("rid0 IS NULL OR rid <> rid0 OR pos <> pos0").select("rid", "pos", everything)
