@@ -205,7 +205,7 @@ class FingerprintLog:
             firsts = firsts.join(old.select("h", "c", F.lit(True).alias("known")), ["h", "c"], "left")
         else:
             firsts = firsts.withColumn("known", F.lit(None).cast("boolean"))
-        firsts = common.materialize(firsts.repartitionByRange("h", "c").sortWithinPartitions("h", "c"), "run")
+        firsts = common.materialize(firsts.sortWithinPartitions("h", "c"), "run")  # dealt by (h, c) already
         fresh = firsts.where("known IS NULL").select("h", "c", "rid", "pos")
         place = lambda c: F.when(F.col("known").isNull(), F.col(c))
         seen = firsts.where("n > 1 OR known").select("h", "c", place("rid").alias("rid0"), place("pos").alias("pos0"))
