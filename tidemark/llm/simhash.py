@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common
+from tidemark.llm import common, near_copies
 
 WORDS = 3
 SEED = 42
@@ -155,12 +155,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The rows of docs, all columns as they are, but of each component only the one with the smallest id (of equal or null ids, any one)."""
+def keep_first(docs: DataFrame, words: int = WORDS, similarity: float | None = None) -> DataFrame:
+    """The rows of docs, all columns as they are, but of each component only the one with the smallest id (of equal or null ids, any one).
+
+    Components are those of fingerprints within 2 bits or, with a similarity, of texts whose shingles have that Jaccard similarity at least.
+    """
+    grouped = (lambda d: clusters(d, words)) if similarity is None else (lambda d: near_copies.clusters(d, words, similarity))
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
     if not odd:
-        return docs.join(clusters(docs, words).where("rid = first").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+        return docs.join(grouped(docs).where("rid = first").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     rows = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()), "rows")
-    kept = clusters(rows.select(F.col("_row").alias("doc_id"), "text"), words).where("rid = first").select(F.col("doc_id").alias("_row"))
+    kept = grouped(rows.select(F.col("_row").alias("doc_id"), "text")).where("rid = first").select(F.col("doc_id").alias("_row"))
     return rows.join(kept, "_row", "left_semi").select(docs.columns)
