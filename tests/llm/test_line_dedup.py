@@ -65,3 +65,10 @@ def test_repeated_and_null_ids(spark):
     assert got == [(False, ""), (False, "same words here\nunlike"), (True, ""), (True, "")]
     assert ld.drop_lines(df).count() == 4
     assert ld.dedup_lines(df.limit(0)).count() == 0 == ld.drop_lines(df.limit(0)).count()
+
+
+def test_a_document_counts_once_for_a_wide_template(spark):
+    items = "\n".join(f"the list of things has {w} in it" for w in ("tea", "milk", "bread", "salt"))
+    df = spark.createDataFrame([(1, items), (2, "unlike"), (3, "the list of things has rice in it")], "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in ld.dedup_lines(df, min_docs=3).collect()} == {1: 0, 2: 0, 3: 0}
+    assert {r.doc_id: r.n_dropped for r in ld.dedup_lines(df, min_docs=2).collect()} == {1: 3, 2: 0, 3: 1}

@@ -106,8 +106,12 @@ def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int) -> Dat
     asked = templates.where("several").select("first.rid", F.struct("leaf", "t", "docs", "first.line").alias("x")).groupBy("rid").agg(F.collect_list("x").alias("asked"))
     wider = keys.select("rid", "text").join(asked, "rid").mapInArrow(_wider(depth, least), "leaf long, t long, docs long, wide long, rid long, line long")
     wider = common.materialize(wider, "wider")
-    recurring = wider.groupBy("leaf", "wide").agg(F.sum("docs").alias("docs"), F.count("*").alias("n"), first.alias("first")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf", "wide", "first")
-    firsts = wider.select("leaf", "wide", "t").join(recurring, ["leaf", "wide"]).select("leaf", "t", "first").union(templates.where(F.col("docs") >= min_docs).select("leaf", "t", "first"))
+    several = wider.groupBy("leaf", "wide").agg(F.sum("docs").alias("docs"), F.count("*").alias("n"), first.alias("first")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf", "wide", "first")
+    members = common.materialize(wider.select("leaf", "wide", "t").join(several, ["leaf", "wide"]), "members")
+    # One document may hold lines of several members: documents are counted from the lines, each once.
+    held = members.select("leaf", "wide", "t").join(lines.where("fresh = 1").select("leaf", "t", "rid"), ["leaf", "t"]).select("leaf", "wide", "rid").distinct()
+    recurring = held.groupBy("leaf", "wide").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf", "wide")
+    firsts = members.join(recurring, ["leaf", "wide"]).select("leaf", "t", "first").union(templates.where(F.col("docs") >= min_docs).select("leaf", "t", "first"))
     firsts = firsts.groupBy("leaf", "t").agg(F.min("first").alias("low"), F.max("first").alias("high"))
     # A line stays only as the first of all recurring templates it belongs to.
     gone = lines.join(firsts, ["leaf", "t"]).where("NOT (low = high AND low.rid = rid AND low.line = line)").groupBy("rid").agg(F.collect_set("line").alias("gone"))
