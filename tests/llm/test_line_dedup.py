@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import corpus_pipeline
 from tidemark.llm import line_dedup as ld
 
 
@@ -72,3 +73,11 @@ def test_a_document_counts_once_for_a_wide_template(spark):
     df = spark.createDataFrame([(1, items), (2, "unlike"), (3, "the list of things has rice in it")], "doc_id long, text string")
     assert {r.doc_id: r.n_dropped for r in ld.dedup_lines(df, min_docs=3).collect()} == {1: 0, 2: 0, 3: 0}
     assert {r.doc_id: r.n_dropped for r in ld.dedup_lines(df, min_docs=2).collect()} == {1: 3, 2: 0, 3: 1}
+
+
+def test_two_documents_make_a_template_recur(spark, tmp_path):
+    passage = " ".join(f"word{'abcdefgh'[k % 8]}{'ijklmnop'[k // 8]}" for k in range(55))
+    docs = spark.createDataFrame([(1, f"one\n{passage}\nA short line"), (2, f"two\n{passage}\nA short line"), (3, "three")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_dropped for r in ld.op5_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 2, 3: 0}
+    assert {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}[2] == "two"

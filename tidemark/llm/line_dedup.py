@@ -25,7 +25,7 @@ from tidemark.llm import common
 
 DEPTH = 3
 LEAST = 6
-MIN_DOCS = 3
+MIN_DOCS = 2  # of the query and the pipeline; the functions take 3 unless told otherwise
 _DIGITS = frozenset("0123456789")
 
 
@@ -92,7 +92,7 @@ def _drop(batches):
         yield common.record_batch(schema, out)
 
 
-def dedup_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3) -> DataFrame:
     """rid, doc_id, n_lines, n_dropped, kept (the text of the lines that stay)."""
     return dropped_lines(common.keyed(docs), depth, least, min_docs)
 
@@ -119,11 +119,11 @@ def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int) -> Dat
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = dedup_lines(common.table(spark, sf_dir, "documents"))
+    got = dedup_lines(common.table(spark, sf_dir, "documents"), min_docs=MIN_DOCS)
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = MIN_DOCS) -> DataFrame:
+def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3) -> DataFrame:
     """docs with its columns, the text and the number of characters as they are after dropping."""
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
