@@ -81,3 +81,43 @@ def test_two_documents_make_a_template_recur(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.n_dropped for r in ld.op5_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 2, 3: 0}
     assert {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}[2] == "two"
+
+
+def slow_agreeing(rows, depth, least, min_docs):
+    """Lines dropped by document, with templates linked that differ in a fifth of their tokens at most."""
+    lines = [(d, n, tuple("<*>" if any(c.isdigit() for c in t) else t for t in x.split())) for d, text in sorted(rows) for n, x in enumerate(text.split("\n"))]
+    lines = [x for x in lines if x[2]]
+    words = sorted({w for _, _, w in lines})
+    label = {w: k for k, w in enumerate(words)}
+    near = [(a, b) for a in words for b in words if len(a) == len(b) >= least and a[:depth] == b[:depth] and 5 * sum(x != y for x, y in zip(a, b)) <= len(a)]
+    for _ in words:
+        before = dict(label)
+        for a, b in near:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    gone = defaultdict(int)
+    for c in set(label.values()):
+        mine = [(d, n) for d, n, w in lines if label[w] == c]
+        if len({d for d, _ in mine}) >= min_docs:
+            for d, _ in mine[1:]:
+                gone[d] += 1
+    return dict(gone)
+
+
+def test_several_fields_against_brute_force(spark):
+    rnd = random.Random(8)
+    base = ["posted by {} in {} on the front page of the paper", "the {} of the {} is here", " ".join(f"p{c}" for c in "abcdefghijklmnopqrstuvwxyz") + " and {} so {} it goes"]
+    fields = ["red", "blue", "green", "x", "run", "way"]
+    rows = [(k, "\n".join(rnd.choice(base).format(rnd.choice(fields), rnd.choice(fields)) + rnd.choice(["", "", " at 9"]) for _ in range(rnd.randint(0, 3)))) for k in range(30)]
+    rows += [(100 + k, "\n".join(" ".join(rnd.choice(["a", "b", "c"]) for _ in range(rnd.randint(5, 11))) for _ in range(5))) for k in range(30)]
+    want = slow_agreeing(rows, 3, 6, 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in ld.dedup_lines(df, min_docs=2, agree=0.8).collect() if r.n_dropped} == want
+    assert sum(want.values()) > 20
+
+
+def test_pipeline_generalises_two_fields(spark):
+    df = spark.createDataFrame([(1, "posted by anna in sports on the front page"), (2, "posted by boris in culture on the front page"), (3, "posted by anna in culture with a long piece")], "doc_id long, text string")
+    text = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, df.selectExpr("doc_id", "replace(text, 'front page', 'front page of the paper') AS text"), "").collect()}
+    assert text[1] and not text[2] and text[3]

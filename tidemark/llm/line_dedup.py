@@ -2,11 +2,15 @@
 
 Method. A line is parsed to a leaf of fixed depth by its number of tokens and its `depth` leading tokens; a token with a digit is a variable
 field from the start. Its first template is the line with those fields generalised. Within a leaf, templates that agree in all but one
-further token are generalised to a wider one with that token as a variable field (lines of `least` tokens and more). A template that occurs
-in `min_docs` documents or more recurs; of its lines the first (smallest id, then place) stays and all others are dropped.
+further token are generalised to a wider one with that token as a variable field (lines of `least` tokens and more). With `agree`, as the
+query and the pipeline have it, templates that agree in that share of their tokens or more are linked instead, and each component is one
+template with all places where its members differ as variable fields. A template that occurs in `min_docs` documents or more recurs; of its
+lines the first (smallest id, then place) stays and all others are dropped.
 
 Scale. A first pass makes one small row for each line; leaves and templates are counted by partial aggregation, and only leaves that recur
-and hold several templates are generalised, from one row for each distinct template. Marks go back to the documents by an equi-join.
+and hold several templates are generalised, from one row for each distinct template. Templates that differ in d tokens have one of d + 1
+segments in common and meet there, where a template is compared with those not yet reached by a link: once, where all are alike; the most
+is a square, for many that share a segment but are not alike. Marks go back to the documents by an equi-join.
 
 Defined cases. Null text: empty, which is one blank line. Blank lines are kept and never templates. Null ids come first, repeated rows are
 documents of their own; an empty table gives an empty result.
@@ -15,7 +19,9 @@ documents of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +31,7 @@ from tidemark.llm import common
 
 DEPTH = 3
 LEAST = 6
+AGREE = 0.8  # of the query and the pipeline
 MIN_DOCS = 2  # of the query and the pipeline; the functions take 3 unless told otherwise
 _DIGITS = frozenset("0123456789")
 
@@ -79,6 +86,68 @@ def _wider(depth: int, least: int):
     return run
 
 
+def _segments(depth: int, least: int, agree: float):
+    """The asked lines under each of their segments, with a hash for each token."""
+    schema = pa.schema([("key", pa.int64()), ("t", pa.int64()), ("body", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text, asked in zip(*common.columns(batch, "text", "asked"), strict=True):
+                lines = text.split("\n")
+                for x in asked:
+                    w = tokens_of(lines[x["line"]])
+                    most = len(w) - math.ceil(agree * len(w) - 1e-9)
+                    if len(w) >= least and most:
+                        body = np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)).tobytes()
+                        cuts = [depth + (len(w) - depth) * k // (most + 1) for k in range(most + 2)]
+                        out += [(_hash(b"%d %d %d" % (len(w), x["leaf"], k), *w[a:b]), x["t"], body) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+            for part in common.in_blocks(iter(out), 20_000):
+                yield common.record_batch(schema, part)
+
+    return run
+
+
+def alike(w: np.ndarray, agree: float) -> list[tuple[int, int]]:
+    """Links between rows of token hashes whose components are those of all pairs that agree in a share of their places."""
+    out, left, most = [], np.arange(len(w)), w.shape[1] - math.ceil(agree * w.shape[1] - 1e-9)
+    while len(left):
+        reached, left = [left[0]], left[1:]
+        while reached and len(left):
+            at = reached.pop()
+            near = (w[left] != w[at]).sum(axis=1) <= most
+            out += [(int(at), int(k)) for k in left[near]]
+            reached += left[near].tolist()
+            left = left[~near]
+    return out
+
+
+def _linked(agree: float):
+    """Of rows sorted by key, links between the templates of each."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def work(ts, bodies):
+        if len(ts) < 2:
+            return []
+        w = np.frombuffer(b"".join(bodies), np.uint64).reshape(len(ts), -1)
+        return [(ts[a], ts[b]) for a, b in alike(w, agree)]
+
+    def run(batches):
+        key, ts, bodies = None, [], []
+        for batch in batches:
+            out = []
+            for k, t, body in zip(*common.columns(batch, "key", "t", "body"), strict=True):
+                if k != key:
+                    out += work(ts, bodies)
+                    key, ts, bodies = k, [], []
+                ts.append(t)
+                bodies.append(body)
+            yield common.record_batch(schema, out)
+        yield common.record_batch(schema, work(ts, bodies))
+
+    return run
+
+
 def _drop(batches):
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.string())])
     for batch in batches:
@@ -92,22 +161,30 @@ def _drop(batches):
         yield common.record_batch(schema, out)
 
 
-def dedup_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3, agree: float | None = None) -> DataFrame:
     """rid, doc_id, n_lines, n_dropped, kept (the text of the lines that stay)."""
-    return dropped_lines(common.keyed(docs), depth, least, min_docs)
+    return dropped_lines(common.keyed(docs), depth, least, min_docs, agree)
 
 
-def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int) -> DataFrame:
+def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree: float | None) -> DataFrame:
     """As dedup_lines, for rows that have rid, doc_id and text already."""
     lines = common.materialize(keys.select("rid", "text").mapInArrow(_lines(depth), "leaf long, t long, rid long, line long, fresh int"), "lines")
     first = F.min(F.struct("rid", "line"))
     leaves = lines.groupBy("leaf").agg(F.sum("fresh").alias("docs"), (F.min("t") != F.max("t")).alias("several")).where(F.col("docs") >= min_docs).select("leaf", "several")
     templates = common.materialize(lines.join(leaves, "leaf").groupBy("leaf", "t").agg(F.sum("fresh").cast("long").alias("docs"), first.alias("first"), F.max("several").alias("several")), "templates")
     asked = templates.where("several").select("first.rid", F.struct("leaf", "t", "docs", "first.line").alias("x")).groupBy("rid").agg(F.collect_list("x").alias("asked"))
-    wider = keys.select("rid", "text").join(asked, "rid").mapInArrow(_wider(depth, least), "leaf long, t long, docs long, wide long, rid long, line long")
-    wider = common.materialize(wider, "wider")
-    several = wider.groupBy("leaf", "wide").agg(F.sum("docs").alias("docs"), F.count("*").alias("n"), first.alias("first")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf", "wide", "first")
-    members = common.materialize(wider.select("leaf", "wide", "t").join(several, ["leaf", "wide"]), "members")
+    asked = keys.select("rid", "text").join(asked, "rid")
+    if agree is None:
+        wider = common.materialize(asked.mapInArrow(_wider(depth, least), "leaf long, t long, docs long, wide long, rid long, line long"), "wider")
+        several = wider.groupBy("leaf", "wide").agg(F.sum("docs").alias("docs"), F.count("*").alias("n"), first.alias("first")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf", "wide", "first")
+        members = wider.select("leaf", "wide", "t").join(several, ["leaf", "wide"])
+    else:
+        places = asked.mapInArrow(_segments(depth, least, agree), "key long, t long, body binary")
+        found = common.components(places.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(agree), "a long, b long"))
+        found = found.union(found.select("component", "component").distinct())
+        of = common.materialize(templates.join(found, templates["t"] == found["node"]).select("leaf", F.col("component").alias("wide"), "t", "first"), "of")
+        members = of.drop("first").join(of.groupBy("leaf", "wide").agg(F.min("first").alias("first")), ["leaf", "wide"])
+    members = common.materialize(members, "members")
     # One document may hold lines of several members: documents are counted from the lines, each once.
     held = members.select("leaf", "wide", "t").join(lines.where("fresh = 1").select("leaf", "t", "rid"), ["leaf", "t"]).select("leaf", "wide", "rid").distinct()
     recurring = held.groupBy("leaf", "wide").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf", "wide")
@@ -119,11 +196,11 @@ def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int) -> Dat
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = dedup_lines(common.table(spark, sf_dir, "documents"), min_docs=MIN_DOCS)
+    got = dedup_lines(common.table(spark, sf_dir, "documents"), min_docs=MIN_DOCS, agree=AGREE)
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3) -> DataFrame:
+def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3, agree: float | None = None) -> DataFrame:
     """docs with its columns, the text and the number of characters as they are after dropping."""
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
@@ -132,7 +209,7 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs
     else:
         docs = docs.withColumn("_rid", F.col("doc_id"))
     keys = docs.select(F.col("_rid").alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    kept = dropped_lines(keys, depth, least, min_docs).select(F.col("rid").alias("_rid"), F.col("kept").alias("_kept"))
+    kept = dropped_lines(keys, depth, least, min_docs, agree).select(F.col("rid").alias("_rid"), F.col("kept").alias("_kept"))
     rest = docs.drop("text").join(kept, "_rid")
     names = [c for c in docs.columns if c != "_rid"]
     return rest.withColumn("text", F.col("_kept")).select(*[F.length("_kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in names])
