@@ -110,7 +110,7 @@ def _ece(s, d):
 
 
 def _bootstrap(s, d):
-    r = E.paired_bootstrap(adapters.predictions(s, d), resamples=2000)
+    r = E.paired_bootstrap(adapters.predictions(s, d))
     return s.createDataFrame([(r["delta"], r["lower"], r["upper"], r["resamples"])], "delta double, lower double, upper double, resamples long")
 
 
@@ -121,7 +121,7 @@ def _mcnemar_p(s, d):
 
 def _gate(s, d):
     p = adapters.predictions(s, d)
-    counts, boot = E.mcnemar_counts(p).first(), E.paired_bootstrap(p, resamples=500)
+    counts, boot = E.mcnemar_counts(p).first(), E.paired_bootstrap(p)
     f1 = {m: {r["label"]: r["f1"] for r in E.class_scores(E.confusion(p, m)).collect()} for m in ("champion", "challenger")}
     ece = E.calibration_error(E.calibration_bins(p.withColumn("correct", F.col("challenger") == F.col("y_true"))))
     verdict, why = E.gate({"ece": ece, "p95_ms": 10, "cost_per_1k": 0.01, "f1": f1["challenger"]}, {"lower": boot["lower"], "p": E.mcnemar_p(counts["only_champion"], counts["only_challenger"])}, {"cost_per_1k": 0.01, "f1": f1["champion"]}, "hash", counts["rows"], 0)
@@ -138,7 +138,7 @@ def _majority(s, d):
 def _tfidf(s, d):
     rows = build(s, d, "fct_articles")["fct_articles"].where("published_at IS NOT NULL AND title <> ''").select("article_key", F.concat_ws(". ", "title", "summary").alias("text"), F.col("kanal").alias("label"))
     rows = written(rows, "corpus")
-    m = TfIdfMargins(min_df=2, features=2000, rounds=5)
+    m = TfIdfMargins(min_df=2)
     m.fit(rows)
     return m.predict(rows).select("article_key", "label", "prediction", "confidence")
 
