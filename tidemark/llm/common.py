@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,11 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a folder of our own only where the session names none, as in tests."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.tidemark.sharedDir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemark-shared-")
-        spark.conf.set("spark.tidemark.sharedDir", folder)
+    """The folder that all executors share: spark.checkpoint.dir, or where that is unset, as in tests, one in the warehouse."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
     return folder.rstrip("/")
 
 
@@ -35,6 +31,21 @@ def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FILTER_BITS = 1 << 24
+
+
+def among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of df whose key may be among the wanted ones (one column): all that are, and the more others the more are wanted.
+
+    A hashed bit set of FILTER_BITS bits, so what is broadcast is at most FILTER_BITS / 64 rows, however many are wanted.
+    """
+    name = wanted.columns[0]
+    bit = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS))
+    words = wanted.select(bit(name).alias("_bit")).select(F.shiftright("_bit", 6).alias("_word"), F.expr("shiftleft(1L, cast(_bit & 63 AS int))").alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    marked = df.withColumn("_bit", bit(key)).withColumn("_word", F.shiftright("_bit", 6))
+    return marked.join(F.broadcast(words), "_word").where("(shiftright(_bits, cast(_bit & 63 AS int)) & 1L) = 1").select(*df.columns)
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id and the text (null: empty), under names that nothing else in the table can clash with."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -8,17 +8,18 @@ template with all places where its members differ as variable fields. A template
 lines the first (smallest id, then place) stays and all others are dropped.
 
 Scale. A first pass makes one small row for each line; leaves and templates are counted by partial aggregation, and only leaves that recur
-and hold several templates are generalised, from one row for each distinct template. Templates that differ in d tokens have one of d + 1
-segments in common and meet there, where a template is compared with those not yet reached by a link: once, where all are alike; the most
-is a square, for many that share a segment but are not alike. Marks go back to the documents by an equi-join.
-
-Defined cases. Null text: empty, which is one blank line. Blank lines are kept and never templates. Null ids come first, repeated rows are
-documents of their own; an empty table gives an empty result.
+and hold several templates are generalised, from one row for each distinct template; only the texts that hold one of these are shuffled
+for it. Templates that differ in d tokens have one of d + 1 segments in common and meet there (only segments that several have travel with
+tokens, once for each set of members), where a template is compared with those not yet reached by a link: once, where all are alike; the
+most is a square, for many that share a segment but are not alike. Marks go back to the documents by one equi-join.
+
+Defined cases. Null text: empty, which is one blank line. Blank lines are kept and never templates. A very long text or line is handled
+whole, in one task. Of repeated lines the one with the smallest id, then place, stays (ties of ids: by text). Null ids come first, repeated
+rows are documents of their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 DEPTH = 3
+LEADING = 2  # depth of the query and the pipeline: fields often stand early in a line
 LEAST = 6
 AGREE = 0.8  # of the query and the pipeline
 MIN_DOCS = 2  # of the query and the pipeline; the functions take 3 unless told otherwise
@@ -87,8 +89,8 @@ def _wider(depth: int, least: int):
 
 
 def _segments(depth: int, least: int, agree: float):
-    """The asked lines under each of their segments, with a hash for each token."""
-    schema = pa.schema([("key", pa.int64()), ("t", pa.int64()), ("body", pa.binary())])
+    """The asked lines with a hash for each token, and the keys of their segments."""
+    schema = pa.schema([("t", pa.int64()), ("body", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
@@ -101,13 +103,21 @@ def _segments(depth: int, least: int, agree: float):
                     if len(w) >= least and most:
                         body = np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)).tobytes()
                         cuts = [depth + (len(w) - depth) * k // (most + 1) for k in range(most + 2)]
-                        out += [(_hash(b"%d %d %d" % (len(w), x["leaf"], k), *w[a:b]), x["t"], body) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-            for part in common.in_blocks(iter(out), 20_000):
+                        out.append((x["t"], body, [_hash(b"%d %d %d" % (len(w), x["leaf"], k), *w[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]))
+            for part in common.in_blocks(iter(out), 2_000):
                 yield common.record_batch(schema, part)
 
     return run
 
 
+def _meetings(bodies: DataFrame) -> DataFrame:
+    """key, t, body for the segments that several templates have; of segments with the same members one is enough."""
+    places = common.materialize(bodies.select("t", F.explode("keys").alias("key")), "segments")
+    members = places.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("t")).alias("one"), F.bit_xor(F.xxhash64("t", F.lit(1))).alias("two")).where("n > 1")
+    needed = members.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key")
+    return places.join(needed, "key").join(bodies.select("t", "body"), "t").select("key", "t", "body")
+
+
 def alike(w: np.ndarray, agree: float) -> list[tuple[int, int]]:
     """Links between rows of token hashes whose components are those of all pairs that agree in a share of their places."""
     out, left, most = [], np.arange(len(w)), w.shape[1] - math.ceil(agree * w.shape[1] - 1e-9)
@@ -148,39 +158,49 @@ def _linked(agree: float):
     return run
 
 
+def _kept(text: str, gone: list[int] | None) -> tuple[str, int]:
+    """The text of the lines that stay, and how many lines it had."""
+    lines = text.split("\n")
+    if not gone:
+        return text, len(lines)
+    dropped = set(gone)
+    return "\n".join([x for k, x in enumerate(lines) if k not in dropped]), len(lines)
+
+
 def _drop(batches):
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.string())])
     for batch in batches:
         out = []
         for rid, doc_id, text, gone in zip(*common.columns(batch, "rid", "doc_id", "text", "gone"), strict=True):
-            lines = text.split("\n")
-            if gone:
-                dropped = set(gone)
-                text = "\n".join([x for k, x in enumerate(lines) if k not in dropped])
-            out.append((rid, doc_id, len(lines), len(gone or ()), text))
+            kept, n = _kept(text, gone)
+            out.append((rid, doc_id, n, len(gone or ()), kept))
         yield common.record_batch(schema, out)
 
 
 def dedup_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3, agree: float | None = None) -> DataFrame:
     """rid, doc_id, n_lines, n_dropped, kept (the text of the lines that stay)."""
-    return dropped_lines(common.keyed(docs), depth, least, min_docs, agree)
+    keys = common.keyed(docs)
+    marks = dropped_lines(keys, depth, least, min_docs, agree)
+    return keys.join(marks, "rid", "left").select("rid", "doc_id", "text", "gone").mapInArrow(_drop, "rid long, doc_id long, n_lines long, n_dropped long, kept string")
 
 
 def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree: float | None) -> DataFrame:
-    """As dedup_lines, for rows that have rid, doc_id and text already."""
+    """rid, gone (numbers of the lines that go), of rows with rid and text."""
     lines = common.materialize(keys.select("rid", "text").mapInArrow(_lines(depth), "leaf long, t long, rid long, line long, fresh int"), "lines")
     first = F.min(F.struct("rid", "line"))
-    leaves = lines.groupBy("leaf").agg(F.sum("fresh").alias("docs"), (F.min("t") != F.max("t")).alias("several")).where(F.col("docs") >= min_docs).select("leaf", "several")
-    templates = common.materialize(lines.join(leaves, "leaf").groupBy("leaf", "t").agg(F.sum("fresh").cast("long").alias("docs"), first.alias("first"), F.max("several").alias("several")), "templates")
-    asked = templates.where("several").select("first.rid", F.struct("leaf", "t", "docs", "first.line").alias("x")).groupBy("rid").agg(F.collect_list("x").alias("asked"))
-    asked = keys.select("rid", "text").join(asked, "rid")
+    # Counted by template first, so that a common line is one row of its leaf.
+    templates = common.materialize(lines.groupBy("leaf", "t").agg(F.sum("fresh").cast("long").alias("docs"), first.alias("first")), "templates")
+    leaves = templates.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("n")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf")
+    several = templates.join(leaves, "leaf").select("first.rid", F.struct("leaf", "t", "docs", "first.line").alias("x"))
+    asked = common.materialize(several.groupBy("rid").agg(F.collect_list("x").alias("asked")), "asked")
+    asked = common.among(keys.select("rid", "text"), "rid", asked.select("rid")).join(asked, "rid")
     if agree is None:
         wider = common.materialize(asked.mapInArrow(_wider(depth, least), "leaf long, t long, docs long, wide long, rid long, line long"), "wider")
         several = wider.groupBy("leaf", "wide").agg(F.sum("docs").alias("docs"), F.count("*").alias("n"), first.alias("first")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf", "wide", "first")
         members = wider.select("leaf", "wide", "t").join(several, ["leaf", "wide"])
     else:
-        places = asked.mapInArrow(_segments(depth, least, agree), "key long, t long, body binary")
-        found = common.components(places.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(agree), "a long, b long"))
+        bodies = common.materialize(asked.mapInArrow(_segments(depth, least, agree), "t long, body binary, keys array<long>"), "bodies")
+        found = common.components(_meetings(bodies).repartition("key").sortWithinPartitions("key").mapInArrow(_linked(agree), "a long, b long"))
         found = found.union(found.select("component", "component").distinct())
         of = common.materialize(templates.join(found, templates["t"] == found["node"]).select("leaf", F.col("component").alias("wide"), "t", "first"), "of")
         members = of.drop("first").join(of.groupBy("leaf", "wide").agg(F.min("first").alias("first")), ["leaf", "wide"])
@@ -192,24 +212,36 @@ def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree:
     firsts = firsts.groupBy("leaf", "t").agg(F.min("first").alias("low"), F.max("first").alias("high"))
     # A line stays only as the first of all recurring templates it belongs to.
     gone = lines.join(firsts, ["leaf", "t"]).where("NOT (low = high AND low.rid = rid AND low.line = line)").groupBy("rid").agg(F.collect_set("line").alias("gone"))
-    return keys.join(gone, "rid", "left").select("rid", "doc_id", "text", "gone").mapInArrow(_drop, "rid long, doc_id long, n_lines long, n_dropped long, kept string")
+    return common.materialize(gone, "gone")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = dedup_lines(common.table(spark, sf_dir, "documents"), min_docs=MIN_DOCS, agree=AGREE)
+    got = dedup_lines(common.table(spark, sf_dir, "documents"), LEADING, min_docs=MIN_DOCS, agree=AGREE)
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs: int = 3, agree: float | None = None) -> DataFrame:
-    """docs with its columns, the text and the number of characters as they are after dropping."""
+    """docs with its columns, the text and the number of characters as they are after dropping.
+
+    Null text becomes empty; rows with null or repeated ids are documents of their own; an empty table stays empty.
+    """
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
     if odd:
-        docs = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_rid", F.monotonically_increasing_id()), "numbered")
+        rows = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_rid", F.monotonically_increasing_id()), "numbered")
     else:
-        docs = docs.withColumn("_rid", F.col("doc_id"))
-    keys = docs.select(F.col("_rid").alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    kept = dropped_lines(keys, depth, least, min_docs, agree).select(F.col("rid").alias("_rid"), F.col("kept").alias("_kept"))
-    rest = docs.drop("text").join(kept, "_rid")
-    names = [c for c in docs.columns if c != "_rid"]
-    return rest.withColumn("text", F.col("_kept")).select(*[F.length("_kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in names])
+        rows = docs.withColumn("_rid", F.col("doc_id"))
+    keys = rows.select(F.col("_rid").alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
+    marks = dropped_lines(keys, depth, least, min_docs, agree).select(F.col("rid").alias("_rid"), F.col("gone").alias("_gone"))
+    at, sized = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def rewrite(batches):
+        for batch in batches:
+            cols = list(batch.columns[:-1])
+            kept = [_kept(text or "", gone)[0] for text, gone in zip(cols[at].to_pylist(), batch.column(len(cols)).to_pylist(), strict=True)]
+            cols[at] = pa.array(kept, cols[at].type)
+            if sized is not None:
+                cols[sized] = pa.array(list(map(len, kept)), pa.int64()).cast(cols[sized].type)
+            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
+
+    return rows.join(marks, "_rid", "left").select(*docs.columns, "_gone").mapInArrow(rewrite, docs.schema)
