@@ -1,21 +1,28 @@
-"""Operator 6, approximate nearest neighbours by stable projections, kd-trees and a chi-square stopping test.
+"""Operator 6, approximate nearest neighbours by stable projections, a kd-tree and a chi-square stopping test.
 
-Method. Largest inner product becomes smallest Euclidean distance by one more component, sqrt(M^2 - |x|^2) with M the largest norm (0 for a
-query). All vectors are projected to `dims` Gaussian directions; each block of rows keeps a kd-tree of the projections. A query takes the
-leaves in order of the projected distance to their boxes, verifies their vectors exactly, and stops when an unseen vector at the distance
-of its k-th best would, by the chi-square law of projected distances, have been projected nearer with probability `sure`.
+Method. Largest inner product becomes smallest Euclidean distance: queries are scaled to the largest norm M and rows get one more component,
+sqrt(M^2 - |x|^2). All are projected to `dims` stable directions (Gaussian, made orthogonal). A kd-tree over the projections, its cuts from a
+sample, deals every row to a leaf. A query first verifies the `probe` leaves whose boxes are nearest; its k-th best there is at distance d.
+An unseen row that is at most as far as d would, by the chi-square law of projected distances, lie within the projected radius r with
+probability `sure`. So the search stops at r: only leaves whose box comes nearer are visited, and of their rows only those projected nearer
+are verified by exact inner products.
 
-Scale. Every row is indexed, in blocks of about `block_rows`, so a task holds one block; queries are sent in groups of at most
-`query_rows`. Each block gives at most k rows a query; the best k of them are taken by a window that prunes before its shuffle.
+Scale. Equal vectors are one class, of which only the ids that can be among the k best of anything travel, so many copies of a vector make
+neither a large leaf nor many searches. The tree is fitted on at most `SAMPLE` rows and has at most 2^`MOST_DEPTH` leaves, whose boxes are all
+that is broadcast. Queries are rows: blocks of them are shuffled to the cells (leaf, part) that they visit; a cell holds about `leaf_rows`
+rows, and meets at most about `query_rows` queries in a task. Each row that is found better than a query's first k-th best is one row of the
+result; a window that prunes before its shuffle ranks them. Where no leaf is far (random vectors of many dimensions) all cells are visited
+and pairs grow with the square of the table, but only projections are compared for most.
 
 Defined cases. Vectors that are null, zero or hold null or non-finite components, and rows with a null id, take no part. A query searches
-among vectors of its own number of components and never finds its own id; of rows that repeat a query's id one is the query. Ties go to the
-smaller id. An empty table gives no rows.
+among vectors of its own number of components and never finds its own id; rows that repeat both id and vector count once, and of rows that
+repeat a query's id with other vectors the least vector is the query. Ties go to the smaller id. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +32,18 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 K = 20
-DIMS = 8
-SURE = 0.97
-LEAF = 64
-BLOCK_ROWS = 8192
-QUERY_ROWS = 20_000
+DIMS = 32
+SURE = 0.8
+PROBE = 3
+LEAF_ROWS = 2048
+MOST_DEPTH = 12
+SAMPLE = 20_000
+QUERY_ROWS = 1_000_000
+BLOCK = 128
 SEED = 17
+_ROWS = "key long, kind int, ids array<long>, vectors array<double>, low array<float>, bounds array<double>"
+_ROWS_ARROW = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())), ("vectors", pa.list_(pa.float64())), ("low", pa.list_(pa.float32())), ("bounds", pa.list_(pa.float64()))])
+_FOUND = "query long, vec_id long, score double, verified long"
 
 
 def chi_square(x: np.ndarray, dims: int) -> np.ndarray:
@@ -39,61 +52,198 @@ def chi_square(x: np.ndarray, dims: int) -> np.ndarray:
     return 1 - np.exp(-half) * sum(half**i / math.factorial(i) for i in range(dims // 2))
 
 
-def leaves(points: np.ndarray, size: int = LEAF) -> list[np.ndarray]:
-    """Leaves of a kd-tree: halves along the widest axis until they are small."""
-    out, todo = [], [np.arange(len(points))]
-    while todo:
-        own = todo.pop()
-        if len(own) <= size:
-            out.append(own)
-            continue
-        part = points[own]
-        axis = int(np.argmax(np.ptp(part, axis=0)))
-        order = np.argpartition(part[:, axis], len(own) // 2)
-        todo += [own[order[: len(own) // 2]], own[order[len(own) // 2 :]]]
-    return out
-
-
-class Block:
-    """kd-tree over the projections of some rows."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, most: float, directions: np.ndarray, leaf: int = LEAF):
-        self.directions, self.most = directions, most
-        extra = np.sqrt(np.maximum(most * most - (vectors * vectors).sum(axis=1), 0))
-        low = np.hstack([vectors, extra[:, None]]) @ directions
-        cells = leaves(low, leaf)
-        self.width = max(map(len, cells))
-        self.low, self.high = (np.array([f(low[c], axis=0) for c in cells]) for f in (np.min, np.max))
-        place = np.array([np.pad(c, (0, self.width - len(c)), constant_values=-1) for c in cells])
-        self.there, place = place >= 0, np.maximum(place, 0)
-        self.ids, self.vectors = np.where(self.there, ids[place], np.iinfo(np.int64).max), vectors[place]
-
-    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, sure: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """Ids and inner products of the k best found for each query (padded with -inf), and how many vectors were verified."""
-        n, dims = len(queries), self.directions.shape[1]
-        q = np.hstack([queries, np.zeros((n, 1))]) @ self.directions
-        gap = np.maximum(np.maximum(self.low[None] - q[:, None], q[:, None] - self.high[None]), 0)
-        bound = (gap * gap).sum(axis=2)
-        order = np.argsort(bound, axis=1, kind="stable")
-        bound = np.take_along_axis(bound, order, axis=1)
-        norm = (queries * queries).sum(axis=1) + self.most**2
-        best, score = np.full((n, k), np.iinfo(np.int64).max), np.full((n, k), -np.inf)
-        active, verified = np.arange(n), 0
-        for step in range(order.shape[1]):
-            far = np.maximum(norm[active] - 2 * score[active, -1], 1e-300)  # squared distance of the k-th best; infinite until there are k
-            done = chi_square(bound[active, step] / far, dims) >= sure
-            active = active[~done]
-            if not len(active):
-                break
-            cell = order[active, step]
-            found = np.einsum("qcd,qd->qc", self.vectors[cell], queries[active])
-            names = self.ids[cell]
-            found[~self.there[cell] | (names == ids[active, None])] = -np.inf
-            verified += found.size
-            names, found = np.hstack([best[active], names]), np.hstack([score[active], found])
-            top = np.lexsort((names, -found), axis=1)[:, :k]
-            best[active], score[active] = np.take_along_axis(names, top, axis=1), np.take_along_axis(found, top, axis=1)
-        return best, score, verified
+def radius(sure: float, dims: int) -> float:
+    """The square of the projected distance, as a multiple of the squared distance, that is not passed with probability `sure`; infinite from 1 on."""
+    if sure >= 1:
+        return math.inf
+    low, high = 0.0, 1e4
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(np.float64(mid), dims) < sure else (low, mid)
+    return high
+
+
+def directions(d: int, dims: int) -> np.ndarray:
+    """Orthogonal Gaussian directions for d + 1 components, each of squared length d + 1."""
+    q, _ = np.linalg.qr(np.random.default_rng(SEED).standard_normal((d + 1, min(dims, d + 1))))
+    return q * math.sqrt(d + 1)
+
+
+@dataclass
+class Tree:
+    """A complete kd-tree: cut number k has the cuts 2k + 1 and 2k + 2 below it."""
+
+    depth: int
+    axis: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def fit(cls, points: np.ndarray, depth: int) -> Tree:
+        """Halves along the widest axis, `depth` times."""
+        axis, at = np.zeros((1 << depth) - 1, np.int64), np.zeros((1 << depth) - 1)
+        own = [np.arange(len(points))]
+        for k in range(len(axis)):
+            part = points[own[k]]
+            if len(part):
+                axis[k] = int(np.argmax(np.ptp(part, axis=0)))
+                at[k] = np.median(part[:, axis[k]])
+            right = part[:, axis[k]] > at[k]
+            own += [own[k][~right], own[k][right]]
+        return cls(depth, axis, at)
+
+    def leaf_of(self, points: np.ndarray) -> np.ndarray:
+        k = np.zeros(len(points), np.int64)
+        for _ in range(self.depth):
+            k = 2 * k + 1 + (points[np.arange(len(points)), self.axis[k]] > self.at[k])
+        return k - len(self.axis)
+
+
+@dataclass
+class Space:
+    """What a task needs to project rows and to route queries; boxes and cells are there once all rows are dealt."""
+
+    d: int
+    most: float
+    matrix: np.ndarray
+    tree: Tree | None = None
+    leaf: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # numbers of the leaves that hold rows
+    low: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
+    high: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
+    base: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # first cell of each
+    parts: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # cells of each
+
+    def project(self, vectors: np.ndarray, query: bool) -> np.ndarray:
+        if query:
+            lifted = np.hstack([vectors * (self.most / np.sqrt((vectors * vectors).sum(axis=1)))[:, None], np.zeros((len(vectors), 1))])
+        else:
+            lifted = np.hstack([vectors, np.sqrt(np.maximum(self.most**2 - (vectors * vectors).sum(axis=1), 0))[:, None]])
+        return (lifted @ self.matrix).astype(np.float32)
+
+    def gaps(self, low: np.ndarray) -> np.ndarray:
+        """Squared projected distance of each query to the box of each leaf, a few queries at a time."""
+        out, step = np.empty((len(low), len(self.leaf))), max(1, (1 << 22) // max(1, self.low.size))
+        for k in range(0, len(low), step):
+            q = low[k : k + step, None]
+            gap = np.maximum(np.maximum(self.low[None] - q, q - self.high[None]), 0)
+            out[k : k + step] = (gap * gap).sum(axis=2)
+        return out
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def _project(space: Space):
+    """Projections of classes, for the sample."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(list(space.project(_matrix(batch.column("v"), space.d), False)), pa.list_(pa.float32()))], names=["low"])
+
+    return run
+
+
+def _dealt(space: Space):
+    """Classes with their projections and leaves."""
+
+    def run(batches):
+        for batch in batches:
+            low = space.project(_matrix(batch.column("v"), space.d), False)
+            cols = [pa.array(space.tree.leaf_of(low)), batch.column("ids"), batch.column("v"), pa.ListArray.from_arrays(np.arange(len(low) + 1, dtype=np.int32) * low.shape[1], pa.array(low.ravel()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["leaf", "ids", "v", "low"])
+
+    return run
+
+
+def _routed(space: Space, reach: float, probe: int, spread: int, first: bool):
+    """Blocks of queries under each cell that they visit: the `probe` nearest leaves first, later all others within the stopping radius."""
+
+    def run(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids, v = batch.column("query").to_numpy(), _matrix(batch.column("v"), space.d)
+            low = space.project(v, True)
+            gap = space.gaps(low)
+            nearest = np.argsort(gap, axis=1, kind="stable")[:, :probe]
+            if first:
+                go, square, floor = np.zeros(gap.shape, bool), np.full(len(ids), np.inf), np.full(len(ids), -np.inf)
+                np.put_along_axis(go, nearest, True, axis=1)
+            else:
+                floor = batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
+                floor[np.isnan(floor)] = -np.inf
+                scale = space.most / np.sqrt((v * v).sum(axis=1))
+                far = np.maximum(2 * space.most**2 - 2 * scale * floor, 0)  # squared distance of the k-th best; infinite until there are k
+                square = np.where(np.isinf(far), np.inf, far * min(reach, 1e12)) * (1 + 1e-5) + 1e-6
+                go = gap <= square[:, None]
+                np.put_along_axis(go, nearest, False, axis=1)
+            share = (ids // 7) % spread
+            for leaf in np.flatnonzero(go.any(axis=0)):
+                out = []
+                for s in range(spread):
+                    own = np.flatnonzero(go[:, leaf] & (share == s))
+                    for k in range(0, len(own), BLOCK):
+                        x = own[k : k + BLOCK]
+                        row = ids[x], v[x].ravel(), low[x].ravel(), np.concatenate([square[x], floor[x]])
+                        out += [((space.base[leaf] + p) * spread + s, 1, *row) for p in range(space.parts[leaf])]
+                for part in common.in_blocks(iter(out), 64):
+                    yield common.record_batch(_ROWS_ARROW, part)
+
+    return run
+
+
+def _searched(space: Space, k: int):
+    """Of rows sorted by cell, its vectors before its queries: what each query finds, and how many vectors it verified."""
+    d, schema = space.d, pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("verified", pa.int64())])
+
+    def work(held, ids, v, low, square, floor):
+        names, sizes, vectors, points, norms = held
+        flat, edge = names
+        near = norms[None] + (low * low).sum(axis=1)[:, None] - 2 * (low @ points.T) <= square[:, None]
+        seen, out = 0, []
+        for q in range(len(ids)):
+            at = np.flatnonzero(near[q])
+            seen += len(at)
+            score = vectors[at] @ v[q]
+            good = score >= floor[q]
+            at, score = at[good], score[good]
+            if len(at) > k:
+                good = score >= np.partition(score, len(score) - k)[len(score) - k]
+                at, score = at[good], score[good]
+            if len(at):
+                own = np.concatenate([flat[edge[x] : edge[x + 1]] for x in at])
+                score = np.repeat(score, sizes[at])
+                top = np.lexsort((own, -score))[:k]
+                out.append((np.full(len(top), ids[q]), own[top], score[top]))
+        cols = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)] if out else [pa.array([], f.type) for f in list(schema)[:3]]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(np.zeros(len(cols[0]), np.int64))], schema=schema)
+        yield common.record_batch(schema, [(None, None, None, seen)])
+
+    def closed(parts):
+        ids = [x for part in parts for x in part[0]]
+        sizes = np.array([len(x) for x in ids])
+        points = np.concatenate([p[2] for p in parts])
+        return (np.concatenate(ids), np.append(0, np.cumsum(sizes))), sizes, np.concatenate([p[1] for p in parts]), points, (points * points).sum(axis=1)
+
+    def run(batches):
+        held_key, parts, held = None, [], None
+        for batch in batches:
+            keys, kinds = batch.column("key").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (kinds[1:] != kinds[:-1])])) if len(keys) else []
+            for s, e in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+                part = batch.slice(s, e - s)
+                if kinds[s] == 0:
+                    if keys[s] != held_key:
+                        held_key, parts, held = keys[s], [], None
+                    ids = [np.asarray(x, np.int64) for x in part.column("ids").to_pylist()]
+                    parts.append((ids, _matrix(part.column("vectors"), d), _matrix(part.column("low"), space.matrix.shape[1])))
+                elif keys[s] == held_key:
+                    held = held or closed(parts)
+                    for k_row in range(e - s):
+                        ids, v, low, bounds = (np.asarray(part.column(c)[k_row].values) for c in ("ids", "vectors", "low", "bounds"))
+                        yield from work(held, ids, v.reshape(-1, d), low.reshape(len(ids), -1), bounds[: len(ids)], bounds[len(ids) :])
+
+    return run
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -103,50 +253,74 @@ def usable(vectors: DataFrame) -> DataFrame:
     return plain.where(F.coalesce(sound, F.lit(False))).withColumn("d", F.size("v"))
 
 
-def search(vectors: DataFrame, every: int = 20, k: int = K, dims: int = DIMS, sure: float = SURE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, leaf: int = LEAF) -> DataFrame:
-    """query_id, rank, vec_id, score for the queries, the rows whose id is divisible by `every`."""
-    spark = vectors.sparkSession
+def _top(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    return found.where("query IS NOT NULL").select("query", "vec_id", "score").withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
+
+
+def _of_one_width(rows: DataFrame, d: int, most: float, every: int, k: int, dims: int, sure: float, probe: int, leaf_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The result for the vectors of d components, and all that was found on the way with the numbers of verified vectors."""
+    spark = rows.sparkSession
+    hashed = rows.where(F.col("d") == d).select("vec_id", "v", F.xxhash64("v").alias("h")).dropDuplicates(["h", "v", "vec_id"])
+    asked = common.materialize(hashed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("v", "h")).alias("x")).select("vec_id", "x.v", "x.h"), "asked")
+    widest = hashed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    most_ids = k + widest  # so many of a class can matter: k, and those of the query's own id
+    copies = Window.partitionBy("h", "v").orderBy("vec_id")
+    few = hashed.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= most_ids)
+    classes = common.materialize(few.groupBy("h", "v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "classes")
+    n_classes = classes.count()
+    space = Space(d, most, directions(d, dims))
+    m = space.matrix.shape[1]
+    depth = min(MOST_DEPTH, max(0, math.ceil(math.log2(max(1, n_classes / leaf_rows)))))
+    sample = classes.select("v", F.xxhash64("h", F.lit(SEED)).alias("o")).orderBy("o").limit(SAMPLE).select("v").mapInArrow(_project(space), "low array<float>")
+    points = np.array([r[0] for r in sample.collect()], np.float32).reshape(-1, m) if depth else np.empty((0, m), np.float32)
+    space.tree = Tree.fit(points, depth)
+    dealt = common.materialize(classes.select("ids", "v").mapInArrow(_dealt(space), "leaf long, ids array<long>, v array<double>, low array<float>"), "dealt")
+    sides = [f(F.col("low")[i]).alias(f"{name}{i}") for name, f in (("lo", F.min), ("hi", F.max)) for i in range(m)]
+    boxes = dealt.groupBy("leaf").agg(F.count("*").alias("n"), *sides).orderBy("leaf").collect()  # at most 2^MOST_DEPTH rows
+    space.leaf = np.array([r["leaf"] for r in boxes], np.int64)
+    space.low, space.high = (np.array([[r[f"{name}{i}"] for i in range(m)] for r in boxes], np.float32) for name in ("lo", "hi"))
+    space.parts = np.array([max(1, -(-r["n"] // (2 * leaf_rows))) for r in boxes], np.int64)
+    space.base = np.concatenate([[0], np.cumsum(space.parts)[:-1]]).astype(np.int64)
+    queries = common.materialize(asked.groupBy("h", "v").agg(F.min("vec_id").alias("query")), "queries")
+    spread = max(1, -(-queries.count() // query_rows))
+    cells = spark.createDataFrame([(int(a), int(b), int(c)) for a, b, c in zip(space.leaf, space.base, space.parts, strict=True)], "leaf long, base long, parts long")
+    placed = dealt.join(F.broadcast(cells), "leaf").withColumn("cell", F.col("base") + F.pmod(F.xxhash64("v"), F.col("parts"))).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    data = placed.select((F.col("cell") * spread + F.col("s")).alias("key"), F.lit(0).alias("kind"), "ids", F.col("v").alias("vectors"), "low", F.array().cast("array<double>").alias("bounds"))
+    reach = radius(sure, m)
+
+    def run(blocks: DataFrame, tag: str) -> DataFrame:
+        met = data.union(blocks).repartition("key").sortWithinPartitions("key", "kind")
+        return common.materialize(met.mapInArrow(_searched(space, most_ids), _FOUND), tag)
+
+    first = run(queries.select("query", "v").mapInArrow(_routed(space, reach, probe, spread, True), _ROWS), "first")
+    start = common.materialize(_top(first, most_ids), "start")
+    kth = start.where(F.col("n") == most_ids).select("query", F.col("score").alias("kth"))
+    rest = run(queries.join(kth, "query", "left").select("query", "v", "kth").mapInArrow(_routed(space, reach, probe, spread, False), _ROWS), "rest")
+    best = _top(start.select("query", "vec_id", "score").union(rest.where("query IS NOT NULL").select("query", "vec_id", "score")), most_ids)
+    lists = best.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("best"))  # at most `most_ids` each
+    whose = asked.alias("a").join(queries.alias("q"), (F.col("a.h") == F.col("q.h")) & (F.col("a.v") == F.col("q.v"))).select(F.col("a.vec_id").alias("query_id"), "query")
+    others = whose.join(lists, "query").select("query_id", F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("best"))
+    got = others.select("query_id", F.posexplode("best").alias("p", "x")).select("query_id", (F.col("p") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
+    pairs = first.select("verified").union(rest.select("verified")).agg(F.coalesce(F.sum("verified"), F.lit(0)).alias("verified")).withColumn("pairs", F.lit(n_classes * queries.count()))
+    return got, pairs
+
+
+def searched(vectors: DataFrame, every: int = 20, k: int = K, dims: int = DIMS, sure: float = SURE, probe: int = PROBE, leaf_rows: int = LEAF_ROWS, query_rows: int = QUERY_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The result of `search`, and by number of components: verified (vectors whose inner product was taken), pairs (distinct queries x vectors)."""
     rows = common.materialize(usable(vectors), "vectors")
-    shapes = rows.groupBy("d").agg(F.count("*").alias("n"), F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("most")).collect()
-    schema, out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]), None
+    shapes = rows.groupBy("d").agg(F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("most")).collect()
+    out = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    share = rows.sparkSession.createDataFrame([], "verified long, pairs long")
     for shape in shapes:
-        d, most = shape["d"], shape["most"]
-        directions = np.random.default_rng(SEED).standard_normal((d + 1, dims))
-        blocks = max(1, -(-shape["n"] // block_rows))
-        dealt = rows.where(F.col("d") == d).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-        asked = rows.where((F.col("d") == d) & (F.col("vec_id") % every == 0)).dropDuplicates(["vec_id"]).select("vec_id", "v")
-        for group in common.in_blocks(asked.toLocalIterator(), query_rows):
-            shared = spark.sparkContext.broadcast((np.array([r[0] for r in group]), np.array([r[1] for r in group], float).reshape(len(group), d)))
-
-            def work(ids, vecs, shared=shared, most=most, directions=directions):
-                tree = Block(ids, vecs, most, directions, leaf)
-                names, queries = shared.value
-                for at in range(0, len(names), 128):
-                    best, score, _ = tree.search(names[at : at + 128], queries[at : at + 128], k, sure)
-                    good = np.isfinite(score)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names[at : at + 128], k)[good.ravel()]), pa.array(best[good]), pa.array(score[good])], schema=schema)
-
-            def run(batches, work=work, d=d):
-                held, ids, parts = None, [], []
-                for batch in batches:
-                    block, own = batch.column("block").to_numpy(), batch.column("vec_id").to_numpy()
-                    flat = batch.column("v").flatten().to_numpy().reshape(len(own), d)
-                    for b in np.unique(block):
-                        if b != held and ids:
-                            yield from work(np.concatenate(ids), np.concatenate(parts))
-                            ids, parts = [], []
-                        held = b
-                        ids.append(own[block == b])
-                        parts.append(flat[block == b])
-                if ids:
-                    yield from work(np.concatenate(ids), np.concatenate(parts))
-
-            got = dealt.repartition("block").sortWithinPartitions("block").select("block", "vec_id", "v").mapInArrow(run, "query_id long, vec_id long, score double")
-            out = got if out is None else out.union(got)
-    if out is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        got, pairs = _of_one_width(rows, shape["d"], shape["most"], every, k, dims, sure, probe, leaf_rows, query_rows)
+        out, share = out.union(got), share.union(pairs)
+    return out, share
+
+
+def search(vectors: DataFrame, **parameters) -> DataFrame:
+    """query_id, rank, vec_id, score for the queries, the rows whose id is divisible by `every`."""
+    return searched(vectors, **parameters)[0]
 
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
