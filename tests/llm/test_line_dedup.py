@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 from tidemark.llm import line_dedup as ld
@@ -84,25 +84,32 @@ def test_two_documents_make_a_template_recur(spark, tmp_path):
 
 
 def slow_agreeing(rows, depth, least, min_docs):
-    """Lines dropped by document, with templates linked that differ in a fifth of their tokens at most."""
-    lines = [(d, n, tuple("<*>" if any(c.isdigit() for c in t) else t for t in x.split())) for d, text in sorted(rows) for n, x in enumerate(text.split("\n"))]
+    """(document, line) of the lines that go, documents numbered in order of id, with templates linked that differ in a fifth of their tokens at most."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    lines = [(d, n, tuple("<*>" if any(c.isdigit() for c in t) else t for t in x.split())) for d, (_, text) in enumerate(order) for n, x in enumerate((text or "").split("\n"))]
     lines = [x for x in lines if x[2]]
-    words = sorted({w for _, _, w in lines})
+    words, leaves = sorted({w for _, _, w in lines}), defaultdict(list)
     label = {w: k for k, w in enumerate(words)}
-    near = [(a, b) for a in words for b in words if len(a) == len(b) >= least and a[:depth] == b[:depth] and 5 * sum(x != y for x, y in zip(a, b)) <= len(a)]
+    for w in words:
+        leaves[len(w), w[:depth]].append(w)
+    near = [(a, b) for own in leaves.values() for a in own for b in own if len(a) >= least and 5 * sum(x != y for x, y in zip(a, b)) <= len(a)]
     for _ in words:
         before = dict(label)
         for a, b in near:
             label[a] = label[b] = min(label[a], label[b])
         if label == before:
             break
-    gone = defaultdict(int)
-    for c in set(label.values()):
-        mine = [(d, n) for d, n, w in lines if label[w] == c]
-        if len({d for d, _ in mine}) >= min_docs:
-            for d, _ in mine[1:]:
-                gone[d] += 1
-    return dict(gone)
+    of = defaultdict(list)
+    for d, n, w in lines:
+        of[label[w]].append((d, n))
+    return {x for mine in of.values() if len({d for d, _ in mine}) >= min_docs for x in sorted(mine)[1:]}
+
+
+def slow_kept(rows, depth, least, min_docs):
+    """(id, text of the lines that stay), by that rule."""
+    gone = slow_agreeing(rows, depth, least, min_docs)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    return [(i, "\n".join(x for n, x in enumerate((text or "").split("\n")) if (d, n) not in gone)) for d, (i, text) in enumerate(order)]
 
 
 def test_several_fields_against_brute_force(spark):
@@ -111,7 +118,7 @@ def test_several_fields_against_brute_force(spark):
     fields = ["red", "blue", "green", "x", "run", "way"]
     rows = [(k, "\n".join(rnd.choice(base).format(rnd.choice(fields), rnd.choice(fields)) + rnd.choice(["", "", " at 9"]) for _ in range(rnd.randint(0, 3)))) for k in range(30)]
     rows += [(100 + k, "\n".join(" ".join(rnd.choice(["a", "b", "c"]) for _ in range(rnd.randint(5, 11))) for _ in range(5))) for k in range(30)]
-    want = slow_agreeing(rows, 3, 6, 2)
+    want = Counter(rows[d][0] for d, _ in slow_agreeing(rows, 3, 6, 2))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.n_dropped for r in ld.dedup_lines(df, min_docs=2, agree=0.8).collect() if r.n_dropped} == want
     assert sum(want.values()) > 20
@@ -121,3 +128,15 @@ def test_pipeline_generalises_two_fields(spark):
     df = spark.createDataFrame([(1, "posted by anna in sports on the front page"), (2, "posted by boris in culture on the front page"), (3, "posted by anna in culture with a long piece")], "doc_id long, text string")
     text = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, df.selectExpr("doc_id", "replace(text, 'front page', 'front page of the paper') AS text"), "").collect()}
     assert text[1] and not text[2] and text[3]
+
+
+def test_very_long_texts_and_lines(spark):
+    rnd = random.Random(2)
+    long = [f"w{rnd.choice('abcdefgh')}{rnd.choice('ijklmnop')}x" for _ in range(3000)]
+    other = list(long)
+    for k in range(5, 3000, 9):
+        other[k] = "else"
+    many = "\n".join(f"line {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100 % 10]}" for k in range(1000)) * 20
+    df = spark.createDataFrame([(1, " ".join(long)), (2, "short\n" + " ".join(other)), (3, many), (4, "line aku")], "doc_id long, text string")
+    got = {r.doc_id: r.n_dropped for r in ld.dedup_lines(df, min_docs=2, agree=0.8).collect()}
+    assert got[1] == 0 and got[2] == 1 and got[4] == 1

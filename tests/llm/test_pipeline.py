@@ -4,9 +4,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from test_line_dedup import brute as slow_lines
+from test_line_dedup import slow_kept
 from test_packing import slow_best_fit
-from test_simhash import slow_components, slow_print
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -44,6 +43,16 @@ def corpus():
     return rows, labels, items
 
 
+def slow_near(sets):
+    """A class for each set: those of all pairs with a Jaccard similarity of 0.8 or more."""
+    label = list(range(len(sets)))
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            if label[a] != label[b] and (x == y or 5 * len(x & y) >= 4 * len(x | y)):
+                label = [label[b] if k == label[a] else k for k in label]
+    return label
+
+
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     out, (rows, labels, items) = str(tmp_path_factory.mktemp("tables")), corpus()
@@ -57,8 +66,8 @@ def test_run_against_brute_force(spark, folder):
     rows, _, items = corpus()
     model = toxicity.train(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
     clean = [(d, t) for d, t in rows if model.score(t or "") < 0.5]
-    lines = [(d, t) for d, _, _, t in slow_lines(clean, line_dedup.DEPTH, line_dedup.LEAST, line_dedup.MIN_DOCS)]
-    label, groups = slow_components([slow_print(t) for _, t in lines]), defaultdict(list)
+    lines = slow_kept(clean, line_dedup.LEADING, line_dedup.LEAST, line_dedup.MIN_DOCS)
+    label, groups = slow_near([decontamination.shingle_set(decontamination.words_of(t), 5) for _, t in lines]), defaultdict(list)
     for (d, t), c in zip(lines, label, strict=True):
         groups[c].append((d is None, d or 0, t))
     first = [(None if odd else d, t) for odd, d, t in map(min, groups.values())]
@@ -95,3 +104,13 @@ def test_empty_tables(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_labels_or_items_are_missing(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(0, 1), (3, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()  # one class only: nothing to learn
+    assert corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).count() == docs.count()
+    spark.createDataFrame([], "doc_id long, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()

@@ -30,19 +30,30 @@ def test_round_trip(spark, tmp_path):
     keys = [r.key for r in store.chunks().collect()]
     assert len(keys) == len(set(keys)) < sum(len(r.digests) // 20 for r in store.recipes().collect()) - 10
     assert sum(r.n_docs for r in store.manifest().collect()) == len(rows)
-    ordered = [r.rid for f in sorted((tmp_path / "s" / "recipes").glob("*.parquet")) for r in spark.read.parquet(str(f)).collect()]
-    assert len(ordered) == len(rows)
+    ordered = [r.rid for f in sorted((tmp_path / "s" / "recipes").glob("*.parquet")) for r in spark.read.parquet(str(f)).collect() if r.rid is not None]
+    assert len(ordered) == len(rows) and ordered == sorted(ordered)
 
 
 def test_damage_is_found(spark, tmp_path):
     store = TokenStore.write(spark.createDataFrame([(1, "some text here")], "doc_id long, text string"), str(tmp_path / "s"), tokenizer_path("byte_bpe_50k.json"))
-    bad = store._objects("chunk").selectExpr("key", "rid", "doc_id", "n_tokens", "cast('xx' AS binary) AS body", "root")
-    bad = spark.createDataFrame(bad.collect(), bad.schema)
-    bad.write.mode("overwrite").parquet(str(tmp_path / "s" / "objects" / "kind=chunk"))
+    path = str(tmp_path / "s" / "objects")
+    rows = spark.read.parquet(path)
+    bad = spark.createDataFrame(rows.selectExpr("deal", "key", "if(key IS NULL, NULL, cast('xx' AS binary)) AS payload", "rid", "doc_id", "n_tokens", "digests", "root").collect(), rows.schema)
+    bad.write.mode("overwrite").parquet(path)
     with pytest.raises(Exception, match="is damaged"):
         store.checksums().collect()
 
 
+def test_a_wrong_range_is_found(spark, tmp_path):
+    store = TokenStore.write(spark.createDataFrame([(k, f"some text {k}") for k in range(30)], "doc_id long, text string"), str(tmp_path / "s"), tokenizer_path("byte_bpe_50k.json"))
+    store.verify()
+    path = str(tmp_path / "s" / "manifest")
+    rows = spark.read.parquet(path)
+    spark.createDataFrame(rows.selectExpr("part", "n_docs", "n_tokens + 1 AS n_tokens", "root", "start").collect(), rows.schema).write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError, match="manifest"):
+        store.verify()
+
+
 def test_empty(spark, tmp_path):
     store = TokenStore.write(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "s"), tokenizer_path("byte_bpe_50k.json"))
     assert store.checksums().count() == 0

@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -56,3 +58,60 @@ def test_features_against_plain_code():
     raw = b" ab c\xc3\xa9 x "
     want = {((int.from_bytes(raw[k : k + n], "big") * ((0x9E3779B97F4A7C15 + 2 * n) % 2**64)) % 2**64) >> 44 for n in (3, 4, 5) for k in range(len(raw) - n + 1)}
     assert set(toxicity.features(text).tolist()) == want
+
+
+def slow_score(docs, labels, texts, kept, rounds, penalty):
+    """The scores by plain Python: presence counts, ratios, chi-square, accelerated gradient steps."""
+
+    def grams(text):
+        raw = b" " + b" ".join((text or "").encode().lower().split()) + b" "
+        return {((int.from_bytes(raw[k : k + n], "big") * ((0x9E3779B97F4A7C15 + 2 * n) % 2**64)) % 2**64) >> 44 for n in (3, 4, 5) for k in range(len(raw) - n + 1)}
+
+    known = [(grams(docs[d]), y) for d, y in labels if d in docs and y in (0, 1) and zlib.crc32(str(d).encode()) % 5]
+    n = Counter(y for _, y in known)
+    count = {y: Counter(f for x, label in known if label == y for f in x) for y in (0, 1)}
+
+    def chi(f):
+        p, q = count[1][f], count[0][f]
+        return (p * (n[0] - q) - q * (n[1] - p)) ** 2 * (n[0] + n[1]) / (n[0] * n[1] * (p + q) * max(n[0] + n[1] - p - q, 1))
+
+    best = sorted({*count[0], *count[1]}, key=lambda f: (-chi(f), f))[:kept]
+    r = {f: math.log((count[1][f] + 1) / (n[1] + 2) / ((count[0][f] + 1) / (n[0] + 2))) for f in best}
+    rows = [([f for f in x if f in r], y) for x, y in known]
+    share = {y: 0.5 / n[y] for y in (0, 1)}
+    step = 1 / (0.25 * (sum(share[y] * sum(r[f] ** 2 for f in x) for x, y in rows) + 1) + penalty)
+    w, ww, b, bb, t = dict.fromkeys(best, 0.0), dict.fromkeys(best, 0.0), 0.0, 0.0, 1.0
+    for _ in range(rounds):
+        slope, g0 = {f: penalty * ww[f] for f in best}, 0.0
+        for x, y in rows:
+            g = share[y] * (1 / (1 + math.exp(-sum(r[f] * ww[f] for f in x) - bb)) - y)
+            g0 += g
+            for f in x:
+                slope[f] += g * r[f]
+        w1, b1, t1 = {f: ww[f] - step * slope[f] for f in best}, bb - step * g0, (1 + math.sqrt(1 + 4 * t * t)) / 2
+        ww, bb = {f: w1[f] + (t - 1) / t1 * (w1[f] - w[f]) for f in best}, b1 + (t - 1) / t1 * (b1 - b)
+        w, b, t = w1, b1, t1
+    return [1 / (1 + math.exp(-b - sum(w[f] * r[f] for f in grams(x) if f in r))) for x in texts]
+
+
+def test_scores_against_a_slow_version(tables):
+    docs, labels, _ = tables
+    few = docs.where("doc_id < 60 AND doc_id <> 5 OR doc_id >= 1000")
+    model = toxicity.train(few, labels, kept=300, rounds=12)
+    texts = {r.doc_id: r.text for r in few.collect() if r.doc_id is not None}
+    got = {r.doc_id: r.score for r in toxicity.score(few, model).collect() if r.doc_id is not None}
+    want = slow_score(texts, [(r.doc_id, r.toxic) for r in labels.collect() if r.doc_id is not None], list(texts.values()), 300, 12, toxicity.PENALTY)
+    pairs = {d: s for d, s in zip(texts, want, strict=True)}
+    assert all(abs(got[d] - pairs[d]) < 1e-9 for d in texts)
+
+
+def test_the_fit_is_bounded_by_values_too(tables):
+    docs, labels, truth = tables
+    model = toxicity.train(docs, labels, fit_values=20_000)
+    held = [r for r in toxicity.score(docs, model).collect() if r.held_out and r.doc_id in truth]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.9
+
+
+def test_one_class_drops_nothing(tables):
+    docs, labels, _ = tables
+    assert toxicity.keep_clean(docs, toxicity.train(docs, labels.where("toxic = 1"))).count() == docs.count()

@@ -1,16 +1,18 @@
 """Operator 4, token ids in a content-addressed store.
 
-Format. Under one folder: `objects/kind=chunk` (Parquet: digest, payload of little-endian unsigned ids, 2 bytes each if the vocabulary
-allows, else 4; each digest once), `recipes` (Parquet in ascending document order: rid, doc_id, start, n_tokens, the digests in order, and
-the document's Merkle root) and `manifest` (a Merkle root for each range of recipes). Rolling hashes over eight ids cut the stream of each
-document, so an inserted passage changes the chunks around it only.
-
-Scale. One encoding pass; payloads are shuffled once, on their digest, after each task has dropped what it sent before. Reading back checks
-each chunk's digest and each document's root, and derives a document's checksum from those of its chunks, so no payload moves; `documents`
-gathers payloads when the ids themselves are wanted.
-
-Defined cases. Null text: empty, just the end id. Null ids come first, repeated rows are documents of their own (ties by text), an empty
-table gives an empty store.
+Format. Under one folder: `objects` (Parquet; a row is a chunk, digest and payload of little-endian unsigned ids, 2 bytes each if the
+vocabulary allows, else 4, each digest once, or the recipe of a document as it was made), `recipes` (Parquet in ascending document order: rid,
+doc_id, within (ids before it in its range), n_tokens, the digests in order, the document's Merkle root, part) and `manifest` (the ranges:
+their documents, ids, start and the Merkle root of their documents' roots). Rolling hashes over eight ids cut the stream of each document, so
+an inserted passage changes the chunks around it only.
+
+Scale. One encoding pass; payloads are shuffled once, on their digest, after each task has dropped what it sent before, recipes by document.
+Starts are summed within sorted ranges; only one row for each range comes together. Reading back checks each chunk's digest and each
+document's root (`verify`: each range's too) and derives a document's checksum from those of its chunks, so no payload moves; `documents` gathers
+payloads when the ids themselves are wanted.
+
+Defined cases. Null text: empty, just the end id. Null ids come first, repeated rows are documents of their own (ties by text), a very
+long text is one document of many chunks, an empty table gives an empty store.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
@@ -30,7 +32,9 @@ DIGEST = 20
 CUT_BITS, LEAST, MOST = 9, 64, 4096
 SEEN = 500_000
 END_ID = 2
-_OBJECTS = "key binary, kind string, rid long, doc_id long, n_tokens long, body binary, root binary"
+_OBJECTS = "deal long, key binary, payload binary, rid long, doc_id long, n_tokens long, digests binary, root binary"
+_RECIPES = "part int, rid long, doc_id long, within long, n_tokens long, digests binary, root binary"
+_MANIFEST = "part int, n_docs long, n_tokens long, root binary, start long"
 
 
 def digest(body: bytes) -> bytes:
@@ -89,7 +93,8 @@ def shift_crc(crc: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _objects(path: str, end_id: int):
-    schema = pa.schema([("key", pa.binary()), ("kind", pa.string()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("body", pa.binary()), ("root", pa.binary())])
+    """Chunks that the task has not sent before, and a recipe for each document."""
+    schema = pa.schema([("deal", pa.int64()), ("key", pa.binary()), ("payload", pa.binary()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.binary()), ("root", pa.binary())])
 
     def run(batches):
         e, seen = encoder(path), set()
@@ -107,9 +112,9 @@ def _objects(path: str, end_id: int):
                     if name not in seen:
                         if len(seen) < SEEN:
                             seen.add(name)
-                        out.append((name, "chunk", None, None, None, part, None))
+                        out.append((int.from_bytes(name[:8], "big", signed=True), name, part, None, None, None, None, None))
                         size += len(part)
-                out.append((names[0], "recipe", rid, doc_id, len(ids), b"".join(names), merkle(names)))
+                out.append((rid, None, None, rid, doc_id, len(ids), b"".join(names), merkle(names)))
                 if size > 1 << 23:
                     yield common.record_batch(schema, out)
                     out, size = [], 0
@@ -122,25 +127,26 @@ def _once(batches):
     seen = set()
     for batch in batches:
         keep = []
-        for key, kind in zip(*common.columns(batch, "key", "kind"), strict=True):
-            keep.append(kind != "chunk" or key not in seen)
-            if kind == "chunk":
+        for key in batch.column("key").to_pylist():
+            keep.append(key is None or key not in seen)
+            if key is not None:
                 seen.add(key)
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def _ranges(batches):
-    schema = pa.schema([("part", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("root", pa.binary())])
-    part, roots, tokens = None, [], 0
+def _summed(batches):
+    """Recipes sorted within their range: the ids before each, and at the end one row without rid for the range."""
+    schema = pa.schema([("part", pa.int32()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("within", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.binary()), ("root", pa.binary())])
+    part, roots, total = None, [], 0
     for batch in batches:
-        for p, n, root in zip(*common.columns(batch, "part", "n_tokens", "root"), strict=True):
-            if p != part and roots:
-                yield common.record_batch(schema, [(part, len(roots), tokens, merkle(roots))])
-                roots, tokens = [], 0
-            part, tokens = p, tokens + n
-            roots.append(root)
+        if len(batch):
+            part = batch.column("part")[0].as_py()
+            n = batch.column("n_tokens").to_numpy()
+            roots += batch.column("root").to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(total + np.cumsum(n) - n) if f.name == "within" else batch.column(f.name) for f in schema], schema=schema)
+            total += int(n.sum())
     if roots:
-        yield common.record_batch(schema, [(part, len(roots), tokens, merkle(roots))])
+        yield common.record_batch(schema, [(part, None, None, len(roots), total, None, merkle(roots))])
 
 
 class TokenStore:
@@ -153,24 +159,51 @@ class TokenStore:
     def write(cls, docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> TokenStore:
         spark = docs.sparkSession
         made = common.keyed(docs).mapInArrow(_objects(path, end_id), _OBJECTS)
-        made.repartition("key").mapInArrow(_once, _OBJECTS).write.option("compression", "zstd").partitionBy("kind").parquet(f"{folder}/objects")
+        made.repartition("deal").mapInArrow(_once, _OBJECTS).write.option("compression", "zstd").parquet(f"{folder}/objects")
         store = cls(spark, folder, encoder(path).width)
-        recipes = store._objects("recipe").select("rid", "doc_id", "n_tokens", F.col("body").alias("digests"), "root")
-        common.numbered(recipes, ["rid"], "n_tokens", "start", "recipes").repartitionByRange("rid").sortWithinPartitions("rid").write.option("compression", "zstd").parquet(f"{folder}/recipes")
-        store.recipes().select("part", "rid", "n_tokens", "root").repartition("part").sortWithinPartitions("part", "rid").mapInArrow(_ranges, "part int, n_docs long, n_tokens long, root binary").write.parquet(f"{folder}/manifest")
+        made = spark.read.schema(_OBJECTS).parquet(f"{folder}/objects").where("rid IS NOT NULL").select("rid", "doc_id", "n_tokens", "digests", "root")
+        ranges = made.repartitionByRange("rid").sortWithinPartitions("rid").withColumn("part", F.spark_partition_id())
+        ranges.mapInArrow(_summed, _RECIPES).write.option("compression", "zstd").parquet(f"{folder}/recipes")
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        sums = store._recipes().where("rid IS NULL").select("part", F.col("within").alias("n_docs"), "n_tokens", "root")  # one row for each range
+        sums.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).write.parquet(f"{folder}/manifest")
         return store
 
-    def _objects(self, kind: str) -> DataFrame:
-        return self.spark.read.schema(_OBJECTS).parquet(f"{self.folder}/objects").where(F.col("kind") == kind)
-
     def chunks(self) -> DataFrame:
-        return self._objects("chunk").select("key", F.col("body").alias("payload"))
+        return self.spark.read.schema(_OBJECTS).parquet(f"{self.folder}/objects").where("key IS NOT NULL").select("key", "payload")
+
+    def _recipes(self) -> DataFrame:
+        return self.spark.read.schema(_RECIPES).parquet(f"{self.folder}/recipes")
 
     def recipes(self) -> DataFrame:
-        return self.spark.read.schema("rid long, doc_id long, n_tokens long, digests binary, root binary, part int, start long").parquet(f"{self.folder}/recipes")
+        """rid, doc_id, start, n_tokens, digests, root, part."""
+        of = F.broadcast(self.manifest().select("part", F.col("start").alias("_start")))  # one row for each range
+        return self._recipes().where("rid IS NOT NULL").join(of, "part").select("rid", "doc_id", (F.col("_start") + F.col("within")).alias("start"), "n_tokens", "digests", "root", "part")
 
     def manifest(self) -> DataFrame:
-        return self.spark.read.schema("part int, n_docs long, n_tokens long, root binary").parquet(f"{self.folder}/manifest")
+        return self.spark.read.schema(_MANIFEST).parquet(f"{self.folder}/manifest")
+
+    def verify(self) -> None:
+        """Raises if a range's documents do not give its Merkle root and number of ids."""
+
+        def run(batches):
+            schema = pa.schema([("part", pa.int32()), ("n_tokens", pa.int64()), ("root", pa.binary())])
+            part, roots, tokens = None, [], 0
+            for batch in batches:
+                for p, n, root in zip(*common.columns(batch, "part", "n_tokens", "root"), strict=True):
+                    if p != part and roots:
+                        yield common.record_batch(schema, [(part, tokens, merkle(roots))])
+                        roots, tokens = [], 0
+                    part, tokens = p, tokens + n
+                    roots.append(root)
+            if roots:
+                yield common.record_batch(schema, [(part, tokens, merkle(roots))])
+
+        got = self._recipes().where("rid IS NOT NULL").select("part", "rid", "n_tokens", "root").repartition("part").sortWithinPartitions("part", "rid").mapInArrow(run, "part int, n_tokens long, root binary")
+        same = (F.col("g.root") == F.col("m.root")) & (F.col("g.n_tokens") == F.col("m.n_tokens"))
+        bad = self.manifest().alias("m").join(got.alias("g"), F.col("m.part") == F.col("g.part"), "full").where(~F.coalesce(same, F.lit(False))).limit(1).count()
+        if bad:
+            raise ValueError("a range does not match its manifest")
 
     def _references(self) -> DataFrame:
         place = F.posexplode(F.sequence(F.lit(0), (F.octet_length("digests") / DIGEST).cast("int") - 1)).alias("k", "_")

@@ -4,13 +4,14 @@ Method. A text is a set of hashed character n-grams (UTF-8 bytes, A-Z lower-case
 training rows, presence counts by class give each feature its log-count ratio r; the `kept` features that separate the classes most
 (chi-square) stay. A logistic model is fitted on vectors whose set features have the value r, and its score is a probability.
 
-Scale. Counts cover all labelled training rows: each task adds up arrays of 2**bits numbers, so at most that many rows come together.
-The fit uses at most `fit_rows` rows of each class, those with the smallest hash of their id, on the driver. Scoring is one pass without
-shuffle over whole texts. The model is at most `kept` weights.
-
-Defined cases. Null text: empty, which gets the score of the bias alone. A null id is never labelled and not held out. Labels other than 0
-and 1, and labels of rows held out, are not used; several labels of one id all count. Without both classes every score is 0.5 (predicted 1).
-Labels, lang, source and ids are no inputs of a score. An empty table gives an empty result.
+Scale. Counts cover all labelled training rows: each task adds up arrays of 2**bits numbers, and Spark ranks the features, so the driver gets
+`kept` of them. The fit uses at most `fit_rows` rows of each class and at most `fit_values` set features in all, those of the rows with the
+smallest hash of their id, on the driver. Scoring is one pass without shuffle over whole texts. The model is at most `kept` weights.
+
+Defined cases. Null text: empty, which gets the score of the bias alone. A very long text is one set of features, so its length adds no
+weight by itself. A null id is never labelled and not held out. Labels other than 0 and 1, and labels of rows held out, are not used; several
+labels of one id all count. Without both classes nothing is learned: every score is 0.5 (predicted 1), and `keep_clean` keeps all rows.
+Labels, lang, source and ids are no inputs of a score; repeated rows score alike. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
@@ -28,6 +29,8 @@ GRAMS = (3, 4, 5)
 BITS = 20
 KEPT = 20_000
 FIT_ROWS = 6_000
+FIT_VALUES = 8_000_000
+_CHUNK = 1 << 20
 ROUNDS = 150
 PENALTY = 3e-4
 
@@ -89,55 +92,71 @@ def _counts(grams, bits):
 
 
 def _vectors(place: np.ndarray, grams, bits):
-    schema = pa.schema([("y", pa.int32()), ("x", pa.list_(pa.int32()))])
+    schema = pa.schema([("y", pa.int32()), ("o", pa.int64()), ("o2", pa.int64()), ("x", pa.list_(pa.int32()))])
 
     def run(batches):
         for batch in batches:
             out = []
-            for text, y in zip(*common.columns(batch, "text", "y"), strict=True):
+            for text, y, o, o2 in zip(*common.columns(batch, "text", "y", "o", "o2"), strict=True):
                 x = place[features(text, grams, bits)]
-                out.append((y, x[x >= 0].astype(np.int32)))
+                out.append((y, o, o2, x[x >= 0].astype(np.int32)))
             yield common.record_batch(schema, out)
 
     return run
 
 
-def _fit(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, rounds: int, penalty: float) -> tuple[np.ndarray, float]:
-    """Logistic weights on the scaled vectors, classes weighted alike, by accelerated gradient steps."""
-    at, size = np.concatenate(rows), np.array([len(x) for x in rows])
-    row = np.repeat(np.arange(len(rows)), size)
-    value = r[at]
+def _fit(at: np.ndarray, size: np.ndarray, y: np.ndarray, r: np.ndarray, rounds: int, penalty: float) -> tuple[np.ndarray, float]:
+    """Logistic weights on the scaled vectors, classes weighted alike, by accelerated gradient steps.
+
+    at: the set features of all rows, one after the other; size: how many each row has. Sums go over about _CHUNK features at a time.
+    """
+    edge = np.append(0, np.cumsum(size))
+    cuts = np.unique(np.searchsorted(edge, np.arange(0, edge[-1] + _CHUNK, _CHUNK)))
+    cuts = np.unique(np.append(np.minimum(cuts, len(size)), [0, len(size)]))
+    chunks = [(int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def by_row(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(size))
+        for a, b in chunks:
+            full = np.flatnonzero(size[a:b])
+            if len(full):
+                out[a + full] = np.add.reduceat(x[at[edge[a] : edge[b]]], edge[a:b][full] - edge[a])
+        return out
+
+    def by_feature(g: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(r))
+        for a, b in chunks:
+            out += np.bincount(at[edge[a] : edge[b]], np.repeat(g[a:b], size[a:b]), len(r))
+        return out
+
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    square = np.bincount(row, value * value, len(rows))
-    step = 1 / (0.25 * (float((share * square).sum()) + 1) + penalty)
+    step = 1 / (0.25 * (float((share * by_row(r * r)).sum()) + 1) + penalty)
     w, b = np.zeros(len(r)), 0.0
     ww, bb, t = w.copy(), b, 1.0
     for _ in range(rounds):
-        z = np.bincount(row, value * ww[at], len(rows)) + bb
-        g = share * (1 / (1 + np.exp(-z)) - y)
-        w1, b1 = ww - step * (np.bincount(at, value * g[row], len(r)) + penalty * ww), bb - step * g.sum()
+        g = share * (1 / (1 + np.exp(-(by_row(r * ww) + bb))) - y)
+        w1, b1 = ww - step * (by_feature(g) * r + penalty * ww), bb - step * g.sum()
         t1 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ww, bb = w1 + (t - 1) / t1 * (w1 - w), b1 + (t - 1) / t1 * (b1 - b)
         w, b, t = w1, b1, t1
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, grams: tuple[int, ...] = GRAMS, bits: int = BITS, kept: int = KEPT, fit_rows: int = FIT_ROWS, rounds: int = ROUNDS, penalty: float = PENALTY) -> Model:
+def train(docs: DataFrame, labels: DataFrame, grams: tuple[int, ...] = GRAMS, bits: int = BITS, kept: int = KEPT, fit_rows: int = FIT_ROWS, rounds: int = ROUNDS, penalty: float = PENALTY, fit_values: int = FIT_VALUES) -> Model:
     """Fits on labelled documents outside the held-out fifth."""
-    spark = docs.sparkSession
     truth = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("y IN (0, 1)").where(~held_out(F.col("doc_id")))
     known = common.materialize(common.id_text(docs).join(truth, "doc_id").select("doc_id", "text", "y"), "labelled")
-    got = known.select("text", "y").mapInArrow(_counts(grams, bits), "feature int, pos long, neg long, docs_pos long, docs_neg long").groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "docs_pos", "docs_neg")]).toArrow()
-    at, pos, neg = (got.column(c).to_numpy() for c in ("feature", "pos", "neg"))
-    n_pos, n_neg = (int(got.column(c).to_numpy().sum()) if len(at) else 0 for c in ("docs_pos", "docs_neg"))
+    counts = known.select("text", "y").mapInArrow(_counts(grams, bits), "feature int, pos long, neg long, docs_pos long, docs_neg long").groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "docs_pos", "docs_neg")])
+    counts = common.materialize(counts, "counts")
+    n_pos, n_neg = (int(x or 0) for x in counts.where("feature < 0").agg(F.sum("docs_pos"), F.sum("docs_neg")).first())
     weight = np.zeros(1 << bits)
     if not n_pos or not n_neg:
         return Model(weight, 0.0, grams, bits)
-    at, pos, neg = at[at >= 0], pos[at >= 0], neg[at >= 0]
-    n, both = n_pos + n_neg, pos + neg
-    chi = (pos * (n_neg - neg) - neg * (n_pos - pos)).astype(float) ** 2 * n / (n_pos * n_neg * np.maximum(both, 1.0) * np.maximum(n - both, 1.0))
-    top = np.lexsort((at, -chi))[:kept]
-    at, pos, neg = at[top], pos[top], neg[top]
+    pos, neg, n = F.col("pos"), F.col("neg"), float(n_pos + n_neg)
+    apart = (pos * (n_neg - neg) - neg * (n_pos - pos)).cast("double")
+    chi = apart * apart * n / (F.lit(float(n_pos)) * n_neg * (pos + neg) * F.greatest(n - pos - neg, F.lit(1.0)))
+    top = counts.where("feature >= 0").select("feature", "pos", "neg", chi.alias("chi")).orderBy(F.desc("chi"), "feature").limit(kept).toArrow()
+    at, pos, neg = (top.column(c).to_numpy() for c in ("feature", "pos", "neg"))
     r = np.log(((pos + 1) / (n_pos + 2)) / ((neg + 1) / (n_neg + 2)))
     place = np.full(1 << bits, -1, np.int32)
     place[at] = np.arange(len(at))
@@ -145,8 +164,12 @@ def train(docs: DataFrame, labels: DataFrame, grams: tuple[int, ...] = GRAMS, bi
     for y in (0, 1):
         part = known.where(F.col("y") == y).select("doc_id", F.xxhash64(F.col("doc_id")).alias("o")).orderBy("o", "doc_id").limit(fit_rows)
         few = part if few is None else few.union(part)
-    sample = known.join(F.broadcast(few.select("doc_id").distinct()), "doc_id").select("text", "y").mapInArrow(_vectors(place, grams, bits), "y int, x array<int>").toArrow()
-    w, b = _fit([np.asarray(x.values, np.int32) for x in sample.column("x")], sample.column("y").to_numpy(), r, rounds, penalty)
+    picked = known.join(F.broadcast(few.select("doc_id").distinct()), "doc_id").select("text", "y", F.xxhash64("doc_id").alias("o"), F.xxhash64("text", "y").alias("o2"))
+    vectors = common.materialize(picked.mapInArrow(_vectors(place, grams, bits), "y int, o long, o2 long, x array<int>"), "vectors")
+    first = Window.partitionBy("y").orderBy("o", "o2").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # about `fit_rows` rows
+    sample = vectors.withColumn("total", F.sum(F.size("x")).over(first)).where(F.col("total") <= fit_values // 2).select("y", "x").toArrow()
+    x = sample.column("x").combine_chunks()
+    w, b = _fit(x.flatten().to_numpy(), np.diff(x.offsets.to_numpy()), sample.column("y").to_numpy(), r, rounds, penalty)
     weight[at] = w * r
     return Model(weight, float(b), grams, bits)
 
@@ -176,7 +199,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns as they are, whose text scores under the threshold."""
+    """The rows of docs, all columns as they are, whose text scores under the threshold; all, if the model has learned nothing."""
+    if not model.weight.any():
+        return docs
     at = np.flatnonzero(model.weight).astype(np.int32)
     shared = docs.sparkSession.sparkContext.broadcast((at, model.weight[at], model.bias, model.grams, model.bits))
 
