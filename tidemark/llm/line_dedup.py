@@ -181,7 +181,7 @@ def dedup_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_doc
     """rid, doc_id, n_lines, n_dropped, kept (the text of the lines that stay)."""
     keys = common.keyed(docs)
     marks = dropped_lines(keys, depth, least, min_docs, agree)
-    return keys.join(marks, "rid", "left").select("rid", "doc_id", "text", "gone").mapInArrow(_drop, "rid long, doc_id long, n_lines long, n_dropped long, kept string")
+    return keys.join(marks.hint("merge"), "rid", "left").select("rid", "doc_id", "text", "gone").mapInArrow(_drop, "rid long, doc_id long, n_lines long, n_dropped long, kept string")
 
 
 def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree: float | None) -> DataFrame:
@@ -193,7 +193,7 @@ def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree:
     leaves = templates.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("n")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf")
     several = templates.join(leaves, "leaf").select("first.rid", F.struct("leaf", "t", "docs", "first.line").alias("x"))
     asked = common.materialize(several.groupBy("rid").agg(F.collect_list("x").alias("asked")), "asked")
-    asked = common.among(keys.select("rid", "text"), "rid", asked.select("rid")).join(asked, "rid")
+    asked = common.among(keys.select("rid", "text"), "rid", asked.select("rid")).join(asked.hint("merge"), "rid")
     if agree is None:
         wider = common.materialize(asked.mapInArrow(_wider(depth, least), "leaf long, t long, docs long, wide long, rid long, line long"), "wider")
         several = wider.groupBy("leaf", "wide").agg(F.sum("docs").alias("docs"), F.count("*").alias("n"), first.alias("first")).where((F.col("docs") >= min_docs) & (F.col("n") > 1)).select("leaf", "wide", "first")
@@ -209,7 +209,7 @@ def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree:
     held = members.select("leaf", "wide", "t").join(lines.where("fresh = 1").select("leaf", "t", "rid"), ["leaf", "t"]).select("leaf", "wide", "rid").distinct()
     recurring = held.groupBy("leaf", "wide").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf", "wide")
     firsts = members.join(recurring, ["leaf", "wide"]).select("leaf", "t", "first").union(templates.where(F.col("docs") >= min_docs).select("leaf", "t", "first"))
-    firsts = firsts.groupBy("leaf", "t").agg(F.min("first").alias("low"), F.max("first").alias("high"))
+    firsts = common.materialize(firsts.groupBy("leaf", "t").agg(F.min("first").alias("low"), F.max("first").alias("high")), "firsts")  # written, so that AQE can split a common line's rows in the next join
     # A line stays only as the first of all recurring templates it belongs to.
     gone = lines.join(firsts, ["leaf", "t"]).where("NOT (low = high AND low.rid = rid AND low.line = line)").groupBy("rid").agg(F.collect_set("line").alias("gone"))
     return common.materialize(gone, "gone")
@@ -244,4 +244,4 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs
                 cols[sized] = pa.array(list(map(len, kept)), pa.int64()).cast(cols[sized].type)
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
 
-    return rows.join(marks, "_rid", "left").select(*docs.columns, "_gone").mapInArrow(rewrite, docs.schema)
+    return rows.join(marks.hint("merge"), "_rid", "left").select(*docs.columns, "_gone").mapInArrow(rewrite, docs.schema)
