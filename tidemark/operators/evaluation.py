@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.graph import running_total
+from tidemark.operators.graph import running_total, written
 
 
 def confusion(rows: DataFrame, pred: str = "y_pred", true: str = "y_true") -> DataFrame:
@@ -50,7 +50,7 @@ def calibration_bins(rows: DataFrame, bins: int = 15, confidence: str = "confide
         raise ValueError("nothing to calibrate")
     if stats[1] < 0 or stats[2] > 1:
         raise ValueError("a confidence lies outside 0 to 1")
-    run, target, ends, done = running_total(by, ["c"], "n", "upto"), max(1, total // bins), [], 0
+    run, target, ends, done = written(running_total(by, ["c"], "n", "upto"), "totals"), max(1, total // bins), [], 0
     while done < total:
         end = run.where(F.col("upto") >= min(done + target, total)).agg(F.min(F.struct("c", "upto")).alias("e")).first()["e"]
         ends.append((len(ends), end["c"]))
@@ -104,31 +104,42 @@ def _macro(true: np.ndarray, pred: np.ndarray, hits: np.ndarray) -> np.ndarray:
     return np.where(true > 0, f1, 0).sum(axis=1) / np.maximum((true > 0).sum(axis=1), 1)
 
 
+_BUCKETS = 64
+
+
 def paired_bootstrap(rows: DataFrame, a: str = "champion", b: str = "challenger", cluster: str = "cluster", resamples: int = 10_000, seed: int = 42, confidence: float = 0.95) -> dict:
-    """Difference in macro-F1 (b - a) and its interval, resampling clusters.
+    """Difference in macro-F1 (b - a) and its interval: as many clusters as there are, drawn with replacement, `resamples` times.
 
-    Each cluster is reduced to its counts; a resample weights clusters by independent Poisson numbers, drawn where the cluster is from its own
-    hash, so partial sums of all resamples (as many rows as resamples) are all that is shuffled.
+    Each cluster is reduced to its counts and clusters of equal counts to one type. A resample is a multinomial draw over the types: first how
+    many clusters fall to each of _BUCKETS groups of types, drawn once, then within each group on its own, so partial sums of all resamples
+    (as many rows as resamples, for each group) are all that is shuffled.
     """
     labels = sorted(r[0] for r in rows.select(F.explode(F.array("y_true", a, b))).distinct().collect())
     if not labels:
         raise ValueError("nothing to resample")
-    cells = [F.count_if(F.col(c) == v).cast("double") for v in labels for c in ("y_true", a, b)] + [F.count_if((F.col(p) == v) & (F.col("y_true") == v)).cast("double") for v in labels for p in (a, b)]
-    per = rows.groupBy(cluster).agg(F.array(*cells).alias("x"))
-    width, names = len(cells), ", ".join(f"x{k} double" for k in range(len(cells)))
-
-    def draw(frames):
-        total = np.zeros((resamples + 1, width))
-        for f in frames:
-            for key, x in zip(f[cluster], f["x"], strict=True):
-                rng = np.random.default_rng([seed, *(str(key).encode())])
-                w = np.append(rng.poisson(1.0, resamples), 1)
-                total += w[:, None] * np.asarray(x)
+    cells = [F.count_if(F.col(c) == v) for v in labels for c in ("y_true", a, b)] + [F.count_if((F.col(p) == v) & (F.col("y_true") == v)) for v in labels for p in (a, b)]
+    types = rows.groupBy(cluster).agg(F.array(*cells).alias("x")).groupBy("x").agg(F.count("*").alias("m"))
+    types = written(types.withColumn("bucket", F.pmod(F.xxhash64("x"), F.lit(_BUCKETS)).cast("int")), "types")
+    sizes = np.zeros(_BUCKETS, np.int64)
+    for r in types.groupBy("bucket").agg(F.sum("m").alias("m")).collect():
+        sizes[r["bucket"]] = r["m"]
+    share = np.random.default_rng(seed).multinomial(sizes.sum(), sizes / sizes.sum(), resamples)
+    width = len(cells)
+
+    def draw(frame: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(frame["bucket"].iloc[0])
+        own = sorted((tuple(map(int, x)), int(m)) for x, m in zip(frame["x"], frame["m"], strict=True))
+        x, m = np.array([t for t, _ in own], float), np.array([k for _, k in own], float)
+        rng, total, step = np.random.default_rng([seed, bucket]), np.empty((resamples + 1, width)), max(1, (1 << 22) // len(m))
+        for k in range(0, resamples, step):
+            total[k : k + step][: resamples - k] = rng.multinomial(share[k : k + step, bucket], m / m.sum()) @ x
+        total[-1] = m @ x
         out = pd.DataFrame(total, columns=[f"x{k}" for k in range(width)])
         out.insert(0, "sample", np.arange(resamples + 1))
-        yield out
+        return out
 
-    sums = per.mapInPandas(draw, f"sample long, {names}").groupBy("sample").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in range(width)]).orderBy("sample").toPandas().to_numpy()[:, 1:]
+    names = ", ".join(f"x{k} double" for k in range(width))
+    sums = types.groupBy("bucket").applyInPandas(draw, f"sample long, {names}").groupBy("sample").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in range(width)]).orderBy("sample").toPandas().to_numpy()[:, 1:]
     n = len(labels)
     true, pa_, pb = (sums[:, c : 3 * n : 3] for c in range(3))
     delta = _macro(true, pb, sums[:, 3 * n + 1 :: 2]) - _macro(true, pa_, sums[:, 3 * n :: 2])
@@ -165,3 +176,9 @@ def gate(challenger: dict, comparison: dict | None, incumbent: dict | None, spli
     if not cheap:
         reject.append("too dear")
     return ("REJECT", reject + hold) if reject else ("HOLD", hold) if hold else ("PROMOTE", [])
+
+
+def overconfidence(bins: DataFrame) -> float:
+    """Mean confidence less accuracy, over all rows of the bins."""
+    r = bins.agg(F.sum(F.col("n") * (F.col("mean_confidence") - F.col("accuracy"))).alias("s"), F.sum("n").alias("n")).first()
+    return r["s"] / r["n"]

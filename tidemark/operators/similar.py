@@ -17,22 +17,47 @@ def distinct_titles(rows: DataFrame) -> DataFrame:
     return rows.select("key", fold(F.col("title")).alias("folded")).groupBy("folded").agg(F.min("key").alias("key")).withColumn("grams", shingles(F.col("folded")))
 
 
-def candidate_pairs(titles: DataFrame, bands: int = BANDS, rows: int = ROWS, bucket: tuple[int, int] = BUCKET) -> DataFrame:
-    """Pairs (a, b), a < b, that share all rows of a band. A bucket of more distinct titles than the limit is keyed anew by the band after it
-    as well, so only its closer pairs meet; what stays over the limit then meets through its smallest key."""
+def banded(titles: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """key, band, chunk: each title under the hash of each of its bands."""
     signed = written(titles.select("key", minhash_signature("grams").alias("sig")), "signatures")
-    chunk = lambda b, n: F.slice("sig", b * rows + 1, n)
-    banded = signed.select("key", F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(chunk(b, rows)).alias("chunk"), F.xxhash64(chunk(b, rows), chunk((b + 1) % bands, rows)).alias("finer")) for b in range(bands)])).alias("x")).select("key", "x.*")
-    size = banded.groupBy("band", "chunk").agg(F.count("*").alias("n")).where(F.col("n") >= bucket[0])
-    sized = banded.join(size, ["band", "chunk"])
-    small = sized.where(F.col("n") <= bucket[1]).select("band", F.col("chunk").alias("at"), "key")
-    large = sized.where(F.col("n") > bucket[1]).select("band", F.col("finer").alias("at"), "key")
-    finer = large.groupBy("band", "at").agg(F.count("*").alias("n"), F.min("key").alias("least")).where(F.col("n") >= bucket[0])
-    rest = large.join(finer, ["band", "at"])
-    met = small.union(rest.where(F.col("n") <= bucket[1]).select("band", "at", "key"))
-    left, right = met.select("band", "at", F.col("key").alias("a")), met.select("band", "at", F.col("key").alias("b"))
-    pairs = left.join(right, ["band", "at"]).where("a < b").select("a", "b")
-    return pairs.union(rest.where((F.col("n") > bucket[1]) & (F.col("key") != F.col("least"))).select(F.col("least"), F.col("key"))).distinct()
+    chunks = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("sig", b * rows + 1, rows)).alias("chunk")) for b in range(bands)])
+    return written(signed.select("key", F.explode(chunks).alias("x")).select("key", "x.*"), "bands")
+
+
+def candidate_pairs(titles: DataFrame, bands: int = BANDS, rows: int = ROWS, bucket: tuple[int, int] = BUCKET) -> DataFrame:
+    """Pairs (a, b), a < b, of titles that share all rows of a band, in buckets of 2 to `bucket[1]` distinct titles; see `crowded` for larger ones."""
+    placed = banded(titles, bands, rows)
+    return _pairs(placed, _sizes(placed).where(F.col("n").between(*bucket)))
+
+
+def _sizes(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("band", "chunk").agg(F.count("*").alias("n"), F.min("key").alias("least"))
+
+
+def _pairs(placed: DataFrame, buckets: DataFrame) -> DataFrame:
+    met = placed.join(buckets.select("band", "chunk"), ["band", "chunk"])
+    left, right = met.select("band", "chunk", F.col("key").alias("a")), met.select("band", "chunk", F.col("key").alias("b"))
+    return left.join(right, ["band", "chunk"]).where("a < b").select("a", "b").distinct()
+
+
+def crowded(titles: DataFrame, placed: DataFrame, buckets: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) of large buckets whose components, with the links at hand, are those of all their similar pairs.
+
+    Each title of a bucket meets its smallest first. Only titles that then lie in another component than the smallest meet the others of the
+    bucket, and only across components, so a large group of similar titles makes no square.
+    """
+    crowd = placed.join(buckets.select("band", "chunk", "least"), ["band", "chunk"])
+    stars = confirmed(titles, crowd.where("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct(), threshold)
+    links = written(links.union(stars.select("a", "b")), "links")
+    of = components(links)
+    named = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_class"))
+    crowd = crowd.join(named("key"), "key", "left").join(named("least"), "least", "left")
+    crowd = crowd.select("band", "chunk", "key", F.coalesce("key_class", "key").alias("class"), (F.coalesce("key_class", "key") != F.coalesce("least_class", "least")).alias("apart"))
+    crowd = written(crowd, "crowd")
+    x, y = crowd.where("apart").alias("x"), crowd.alias("y")
+    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.chunk") == F.col("y.chunk")) & (F.col("x.class") != F.col("y.class")))
+    pairs = rest.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+    return links.union(confirmed(titles, pairs, threshold).select("a", "b"))
 
 
 def confirmed(titles: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -41,15 +66,36 @@ def confirmed(titles: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD)
     return j.withColumn("similarity", jaccard(F.col("ga"), F.col("gb"))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
-def cluster(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, cluster_id) for rows (key, title): the id is the smallest key of the cluster."""
+def cluster(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, int] = BUCKET, large: bool = True) -> DataFrame:
+    """(key, cluster_id) for rows (key, title): the id is the smallest key of the cluster. large: whether buckets over the limit count, too."""
+    return clustered(rows, threshold, bucket, large)[0]
+
+
+def clustered(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, int] = BUCKET, large: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The clusters, the candidate pairs of buckets within the limit, and those of them that are similar."""
     titles = written(distinct_titles(rows), "titles")
-    links = confirmed(titles, candidate_pairs(titles), threshold)
-    found = components(links.select("a", "b"))
+    placed = banded(titles)
+    sizes = written(_sizes(placed).where(F.col("n") >= bucket[0]), "buckets")
+    candidates = written(_pairs(placed, sizes.where(F.col("n") <= bucket[1])), "candidates")
+    good = written(confirmed(titles, candidates, threshold), "confirmed")
+    links, over = good.select("a", "b"), sizes.where(F.col("n") > bucket[1])
+    if large and over.limit(1).count():
+        links = crowded(titles, placed, over, links, threshold)
+    found = components(links)
     of = titles.join(found, titles["key"] == found["node"], "left").select("folded", F.coalesce("component", "key").alias("cluster_id"))
-    return rows.select("key", fold(F.col("title")).alias("folded")).join(of, "folded").select("key", "cluster_id")
+    return rows.select("key", fold(F.col("title")).alias("folded")).join(of, "folded").select("key", "cluster_id"), candidates, good
 
 
 def report(clusters: DataFrame) -> DataFrame:
     """Clusters by size: how many, and rows in them."""
     return clusters.groupBy("cluster_id").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("clusters"), F.sum("size").alias("rows"))
+
+
+def cluster_report(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row: candidate_pairs, confirmed_pairs, clusters and rows_in_a_cluster (of two rows and more), largest, false_candidate_rate."""
+    found, candidates, good = clustered(rows, threshold)
+    sizes = found.groupBy("cluster_id").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = sizes.agg(F.count("*").alias("clusters"), F.coalesce(F.sum("size"), F.lit(0)).alias("rows_in_a_cluster"), F.coalesce(F.max("size"), F.lit(0)).alias("largest"))
+    pairs = candidates.agg(F.count("*").alias("candidate_pairs")).join(good.agg(F.count("*").alias("confirmed_pairs")))
+    rate = F.when(F.col("candidate_pairs") > 0, 1 - F.col("confirmed_pairs") / F.col("candidate_pairs")).otherwise(F.lit(0.0))
+    return pairs.join(sizes).withColumn("false_candidate_rate", rate)

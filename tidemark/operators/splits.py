@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ def temporal_split(rows: DataFrame, anchor=None, train_days: float = 14, val_day
 
 def random_split(rows: DataFrame, seed: int = 42, train: float = 0.7, val: float = 0.15) -> DataFrame:
     """By cluster, on a seeded hash of its id: needs no order of all ids and gives the same split anywhere."""
-    u = F.pmod(F.xxhash64(F.lit(seed), "cluster_id"), F.lit(1_000_000)) / 1_000_000
+    u = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), "cluster_id"), 256), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
     return rows.withColumn("split", F.when(u < train, "train").when(u < train + val, "val").otherwise("test"))
 
 
@@ -77,3 +78,34 @@ def content_hash(split: DataFrame, settings: dict) -> str:
     part = F.conv(F.substring(F.sha2(F.concat_ws("\u0000", "article_key", "split"), 256), 1, 15), 16, 10).cast("decimal(38,0)")
     total = split.agg(F.sum(part), F.count("*")).first()
     return hashlib.sha256(json.dumps([settings, str(total[0]), total[1]], sort_keys=True, default=str).encode()).hexdigest()
+
+
+@dataclass
+class SplitManifest:
+    """A split as it is recorded: settings, rows by split, warnings and the hash of the assignment, without the assignment itself."""
+
+    settings: dict
+    rows: dict[str, int]
+    clusters: dict[str, int]
+    warnings: list[str]
+    content_hash: str
+
+    @classmethod
+    def of(cls, split: DataFrame, settings: dict) -> SplitManifest:
+        by = {r["split"]: r for r in split.groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("cluster_id").alias("c")).collect()}
+        return cls(settings, {k: r["n"] for k, r in sorted(by.items())}, {k: r["c"] for k, r in sorted(by.items())}, warnings(split), content_hash(split, settings))
+
+    def to_dict(self) -> dict:
+        return asdict(self)
+
+    def write(self, path: str) -> None:
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(self.to_dict(), f, sort_keys=True, default=str)
+
+    def summary(self) -> str:
+        return "\n".join([f"split {self.content_hash[:12]}", *(f"  {k}: {n} articles in {self.clusters[k]} clusters" for k, n in self.rows.items()), *(f"  ! {w}" for w in self.warnings)])
+
+
+def keys(split: DataFrame, name: str) -> DataFrame:
+    """The article keys of one split."""
+    return split.where(F.col("split") == name).select("article_key")

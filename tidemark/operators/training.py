@@ -10,14 +10,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.python import to_text
+from tidemark.functions import features
 from tidemark.operators import evaluation as E
 from tidemark.operators import similar, splits
 from tidemark.operators.graph import written
-from tidemark.operators.models import Candidate, Majority, TfIdfMargins, load_model
+from tidemark.operators.models import Candidate, Majority, TfIdfMargins, latency_ms, load_model, local_scorer
 from tidemark.plans.store import AliasNotSet, Registry
 
 CALIBRATION_ROWS = 5_000
+LATENCY_ROWS = 200
 WINDOWS = ((14, 7), (2, 1))  # days of training and validation cutoffs: the usual ones, then those to fall back on
 
 
@@ -47,7 +48,8 @@ class TrainingRun:
 def corpus(fct: DataFrame) -> DataFrame:
     """article_key, cluster_id (near-duplicate titles), published_at, source, kanal, label, text."""
     rows = fct.where("published_at IS NOT NULL AND title IS NOT NULL AND title <> ''")
-    rows = written(rows.select("article_key", "published_at", "source", "kanal", "title", F.col("kanal").alias("label"), to_text(F.col("title"), F.coalesce("summary", F.lit(""))).alias("text")), "corpus")
+    features.guarded(rows, "title", "summary")  # all that the text is made of
+    rows = written(rows.select("article_key", "published_at", "source", "kanal", "title", F.col("kanal").alias("label"), features.text().alias("text")), "corpus")
     of = similar.cluster(rows.select(F.col("article_key").alias("key"), "title")).select(F.col("key").alias("article_key"), "cluster_id")
     return rows.join(of, "article_key").drop("title")
 
@@ -83,13 +85,13 @@ def calibrate(model: TfIdfMargins, held: DataFrame) -> None:
 
 
 def scored(model: Candidate, test: DataFrame) -> tuple[dict, DataFrame]:
-    """Figures of a model on the test rows, and its predictions (kept). The time of a row is that of the batch, shared."""
-    start, n = time.perf_counter(), test.count()
+    """Figures of a model on the test rows, and its predictions (kept). Times are those of single texts, scored on the driver."""
+    sample = [r["text"] for r in test.select("text", F.xxhash64("article_key").alias("o")).orderBy("o").limit(LATENCY_ROWS).collect()]
+    took = latency_ms(local_scorer(model), sample)
     got = written(model.predict(test).select("article_key", "cluster_id", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"), "confidence"), "predictions")
-    took = (time.perf_counter() - start) * 1000 / max(n, 1)
     cells = E.confusion(got)
     bins = E.calibration_bins(got.withColumns({"correct": F.col("y_true") == F.col("y_pred"), "confidence": F.least("confidence", F.lit(1.0))}))
-    return {"macro_f1": E.summary(cells).first()["macro_f1"], "ece": E.calibration_error(bins), "p95_ms": took, "cost_per_1k": model.unit_cost_usd(1000), "f1": {r["label"]: r["f1"] for r in E.class_scores(cells).collect()}}, got
+    return {"macro_f1": E.summary(cells).first()["macro_f1"], "ece": E.calibration_error(bins), "p95_ms": took["p95_ms"], "overconfident_by": E.overconfidence(bins), "cost_per_1k": model.unit_cost_usd(1000), "f1": {r["label"]: r["f1"] for r in E.class_scores(cells).collect()}}, got
 
 
 def train_and_promote(fct: DataFrame, registry: Registry, random: bool = False, resamples: int = 10_000, seed: int = 42, candidates: list[Candidate] | None = None) -> TrainingRun:
@@ -116,6 +118,7 @@ def train_and_promote(fct: DataFrame, registry: Registry, random: bool = False,
     incumbent = comparison = hours = None
     try:
         name = registry.resolve()
+        registry.meta(name, features.feature_hash())
         incumbent, old = scored(load_model(os.path.join(registry.root, "artifacts", name)), test)
         both = got.select("article_key", "y_true", F.col("y_pred").alias("challenger"), F.col("cluster_id").alias("cluster")).join(old.select("article_key", F.col("y_pred").alias("champion")), "article_key")
         c = E.mcnemar_counts(both).first()
@@ -126,6 +129,6 @@ def train_and_promote(fct: DataFrame, registry: Registry, random: bool = False,
         pass
     figures = run.scores[model.name]
     run.verdict, run.reasons = E.gate(figures | {"split_hash": digest}, comparison, incumbent, digest, n["test"], splits.cluster_leaks(split).count(), hours)
-    run.artifact = registry.register({"name": model.name, "split_hash": digest, "classes": sorted(figures["f1"]), "metrics": {k: figures[k] for k in ("macro_f1", "ece")}}, model.save)
+    run.artifact = registry.register({"name": model.name, "feature_hash": features.feature_hash(), "split_hash": digest, "classes": sorted(figures["f1"]), "metrics": {k: figures[k] for k in ("macro_f1", "ece")}}, model.save)
     registry.apply(run.artifact, run.verdict, run.reasons)
     return run

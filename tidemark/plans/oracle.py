@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from tidemark.functions.columns import PREFIXES
+
 _CTE = {
     "articles": r"""SELECT *, 'https://' || source || '.example/' || CASE doc_id % 3 WHEN 0 THEN channel WHEN 1 THEN split_part(kanal, '-', 1) ELSE 'news' END || '/' || doc_id AS raw_link,
  'https://' || source || '.example/' || CASE doc_id % 3 WHEN 0 THEN channel WHEN 1 THEN split_part(kanal, '-', 1) ELSE 'news' END || '/' || doc_id AS canonical_url,
  sha256(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'))) AS title_fingerprint
-FROM (SELECT d.doc_id, sha256(CAST(d.doc_id AS VARCHAR)) AS article_key, split_part(d.text, chr(10), 1) AS title,
+FROM (SELECT d.doc_id, sha256(CAST(d.doc_id AS VARCHAR)) AS article_key, CASE WHEN d.doc_id % 83 = 0 THEN '  ' ELSE split_part(d.text, chr(10), 1) END AS title,
  CASE WHEN d.doc_id % 11 <> 0 THEN substr(d.text, length(split_part(d.text, chr(10), 1)) + 2) END AS summary,
  CASE WHEN d.doc_id % 7 = 0 THEN 'ekonomi' WHEN d.lang = 'en' THEN 'politik' WHEN d.lang = 'de' THEN 'hukum-kriminal' WHEN d.lang = 'fr' THEN 'gaya-hidup-kesehatan' ELSE 'ekonomi' END AS kanal,
- d.source, e.event_type AS channel, d.source || ':' || e.event_type AS feed_id, CASE WHEN d.doc_id % 97 <> 0 THEN e.ts END AS published_at,
- CASE WHEN d.doc_id % 89 = 0 THEN e.ts - INTERVAL 2 HOUR ELSE e.ts + to_hours(CAST(d.doc_id * 37 % 1500 AS INTEGER)) END AS fetched_at,
+ d.source, e.event_type AS channel, d.source || ':' || e.event_type AS feed_id, CASE WHEN d.doc_id % 97 <> 0 THEN e.sent END AS published_at,
+ CASE WHEN d.doc_id % 89 = 0 THEN e.sent - INTERVAL 2 HOUR ELSE e.sent + to_hours(CAST(d.doc_id * 37 % 1500 AS INTEGER)) END AS fetched_at,
  CAST(1 AS INTEGER) AS schema_version, e.props AS extra, 'f' || (d.doc_id % 8) AS _ingest_file
- FROM documents d JOIN events e ON e.event_id = d.doc_id)""",
+ FROM documents d LEFT JOIN (SELECT *, ts + to_days(CAST(event_id * 13 % 28 AS INTEGER)) AS sent FROM events) e ON e.event_id = d.doc_id)""",
     "taxonomy": """SELECT source, channel, CASE WHEN source = 'src1' THEN 'olahraga' ELSE 'ekonomi' END AS mapped_kanal,
  CASE (CASE channel WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END) % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS mapping_confidence, 'generated' AS mapping_notes
 FROM (SELECT DISTINCT source, channel FROM articles) WHERE NOT (source = 'src0' AND channel = 'click')""",
@@ -72,6 +74,12 @@ r AS (SELECT *, sum(n) OVER (ORDER BY c) AS upto, sum(n) OVER () AS total FROM c
 ends AS (SELECT 0::BIGINT AS bin, min(upto) AS done, any_value(total) AS total FROM r WHERE upto >= least(greatest(1, total // 15), total)
  UNION ALL SELECT bin + 1, (SELECT min(upto) FROM r WHERE upto >= least(ends.done + greatest(1, r.total // 15), r.total)), total FROM ends WHERE done < total)"""
 
+_CLEAN = "SELECT doc_id, trim(regexp_replace({x}, '(?is)\\s*(Baca juga\\s*:.*|Simak selengkapnya.*|\\(\\s*Baca\\s*:.*\\)|Artikel ini telah tayang.*)$', '')) AS cleaned FROM articles"
+_x = "trim(regexp_replace('ANTARA -  Jakarta - ' || coalesce(summary, '') || ' Baca juga: more' || chr(10) || 'things', '\\s+', ' ', 'g'))"
+for _prefix in PREFIXES * 2:
+    _x = f"regexp_replace({_x}, '(?i){_prefix}', '')"
+_CLEAN = _CLEAN.format(x=_x)
+
 ORACLE_SQL: dict[str, str] = {
     "stg_articles": _with("stg", sql="SELECT * FROM stg"),
     "cluster_agg": _with("clusters", sql="SELECT * FROM clusters"),
@@ -108,7 +116,15 @@ ORACLE_SQL: dict[str, str] = {
     "split_temporal": _with("split", sql="SELECT article_key, row_split, split FROM split"),
     "split_composition": _with("split", sql="SELECT split, source, kanal, count(*) AS articles FROM split GROUP BY 1, 2, 3"),
     "split_spanning": _with("split", sql="SELECT cluster_id, count(DISTINCT row_split) AS splits FROM split GROUP BY 1 HAVING count(DISTINCT row_split) > 1"),
-    "cluster_leak": _with("split", sql="SELECT cluster_id, count(DISTINCT split) AS splits FROM split GROUP BY 1 HAVING count(DISTINCT split) > 1"),
+    "cluster_leak": _with("split", sql="SELECT cluster_id, count(DISTINCT row_split) AS splits FROM split GROUP BY 1 HAVING count(DISTINCT row_split) > 1"),
+    "split_random": _with("fct", sql="SELECT article_key, CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'val' ELSE 'test' END AS split FROM (SELECT article_key, CAST('0x' || substr(sha256('42:' || cluster_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM fct)"),
+    "clean_text": _with("articles", sql=_CLEAN),
+    "check_keys": _with("fct", sql="SELECT count(*) AS total, count(DISTINCT article_key) AS \"distinct\" FROM fct"),
+    "check_expected_sources": _with("fct", sql="SELECT e.source, coalesce((SELECT bool_or(fetched_at > TIMESTAMP '2024-03-20 00:00:00' - INTERVAL 480 HOUR) FROM fct WHERE fct.source = e.source), false) AS reported FROM (SELECT unnest(['src0', 'src1', 'src2', 'srcX']) AS source) e"),
+    "check_feed_silence": _with("fct", sql="SELECT f.feed_id, a.age AS freshest_age_hours, CASE WHEN a.n IS NULL THEN 'absent' WHEN a.age > 300 THEN 'abandoned' ELSE 'fresh' END AS state FROM (SELECT unnest(['src0:click', 'src0:view', 'src1:view', 'src2:error', 'src3:signup', 'src4:purchase', 'srcX:view']) AS feed_id) f LEFT JOIN (SELECT feed_id, min(date_diff('hour', published_at, fetched_at)) AS age, count(*) AS n FROM fct GROUP BY 1) a USING (feed_id)"),
+    "check_low_leakage": _with("fct", sql="SELECT source, avg(CASE WHEN url_leaks_label THEN 1.0::DOUBLE ELSE 0 END) AS leak FROM fct GROUP BY 1 HAVING avg(CASE WHEN url_leaks_label THEN 1.0::DOUBLE ELSE 0 END) < 0.65"),
+    "mcnemar_p": _with("pred", sql="SELECT b AS only_champion, c AS only_challenger, CASE WHEN b + c = 0 THEN 1.0::DOUBLE ELSE round(least(1.0::DOUBLE, 2 * (SELECT sum(exp(lgamma(b + c + 1.0::DOUBLE) - lgamma(i + 1.0::DOUBLE) - lgamma(b + c - i + 1.0::DOUBLE) - (b + c) * ln(2.0::DOUBLE))) FROM range(0, least(b, c) + 1) AS r(i))), 12) END AS p FROM (SELECT count(*) FILTER (WHERE champion = y_true AND challenger <> y_true) AS b, count(*) FILTER (WHERE champion <> y_true AND challenger = y_true) AS c FROM pred)"),
+    "confidence_gap": _with("pred", sql="SELECT round(avg(confidence) - avg(CASE WHEN champion = y_true THEN 1.0::DOUBLE ELSE 0 END), 9) AS overconfident_by FROM pred"),
     "confusion": _with("pred", sql="SELECT y_true, challenger AS y_pred, count(*) AS n FROM pred GROUP BY 1, 2"),
     "class_scores": _with("pred", sql=_SCORES.format(m="champion")),
     "macro_f1": _with("pred", sql=" UNION ALL ".join(_MACRO.format(m=m, s=_SCORES.format(m=m)) for m in ("champion", "challenger"))),

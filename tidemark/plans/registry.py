@@ -12,7 +12,7 @@ from tidemark.functions import python as P
 from tidemark.operators import articles as A
 from tidemark.operators import contracts as K
 from tidemark.operators import evaluation as E
-from tidemark.operators import similar, splits
+from tidemark.operators import checks, similar, splits
 from tidemark.operators.graph import components, written
 from tidemark.operators.models import Majority, TfIdfMargins
 from tidemark.plans.dag import build
@@ -23,6 +23,7 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 
 KANAL = ["politik", "hukum-kriminal", "gaya-hidup-kesehatan"]
 EXPECTED = ["src0", "src1", "src2", "srcX"]
+FEEDS = ["src0:click", "src0:view", "src1:view", "src2:error", "src3:signup", "src4:purchase", "srcX:view"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -116,7 +117,12 @@ def _bootstrap(s, d):
 
 def _mcnemar_p(s, d):
     r = E.mcnemar_counts(adapters.predictions(s, d)).first()
-    return s.createDataFrame([(r["only_champion"], r["only_challenger"], E.mcnemar_p(r["only_champion"], r["only_challenger"]))], "only_champion long, only_challenger long, p double")
+    return s.createDataFrame([(r["only_champion"], r["only_challenger"], round(E.mcnemar_p(r["only_champion"], r["only_challenger"]), 12))], "only_champion long, only_challenger long, p double")
+
+
+def _gap(s, d):
+    bins = E.calibration_bins(adapters.predictions(s, d).withColumn("correct", F.col("champion") == F.col("y_true")))
+    return s.createDataFrame([(round(E.overconfidence(bins), 9),)], "overconfident_by double")
 
 
 def _gate(s, d):
@@ -193,7 +199,13 @@ QUERIES: dict[str, Query] = {
     "split_temporal": lambda s, d: _split(s, d).select("article_key", "row_split", "split"),
     "split_composition": lambda s, d: splits.composition(_split(s, d), "source", "kanal"),
     "split_spanning": lambda s, d: splits.spanning(_split(s, d)),
-    "cluster_leak": lambda s, d: splits.cluster_leaks(_split(s, d)),
+    "cluster_leak": lambda s, d: splits.cluster_leaks(_split(s, d).withColumn("split", F.col("row_split"))),  # a split by rows, which must be found out
+    "check_keys": _on("fct_articles", checks.key_counts),
+    "check_expected_sources": _on("fct_articles", lambda x: checks.expected_sources(x, EXPECTED, "2024-03-20 00:00:00", 480)),
+    "check_feed_silence": _on("fct_articles", lambda x: checks.feed_silence(x, FEEDS, 300)),
+    "check_low_leakage": _on("fct_articles", lambda x: checks.low_leakage(x, 0.65)),
+    "confidence_gap": _gap,
+    "lsh_report": lambda s, d: similar.cluster_report(adapters.articles(s, d).select(F.col("article_key").alias("key"), "title")),
     "confusion": _predictions(lambda p: E.confusion(p, "challenger")),
     "class_scores": _scores,
     "macro_f1": _macro,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import threading
 import time
 
 
@@ -105,9 +106,14 @@ class Champion:
         self.registry, self.load, self.ttl, self.clock = registry, load, ttl, clock
         self.name = self.model = self.last_error = None
         self.reloads = self.failed_reloads = 0
-        self.looked = -float("inf")
+        self.looked, self.lock = -float("inf"), threading.Lock()
 
     def get(self):
+        """The model; one caller at a time looks it up."""
+        with self.lock:
+            return self._get()
+
+    def _get(self):
         if self.clock() - self.looked >= self.ttl:
             self.looked = self.clock()
             try:

@@ -10,6 +10,7 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import features
 from tidemark.functions.python import to_text
 from tidemark.operators.models import load_model
 from tidemark.plans.store import AliasNotSet, Champion, Registry
@@ -38,7 +39,12 @@ def checked(body) -> list[tuple[int, str, str]]:
 class Service:
     def __init__(self, spark: SparkSession, registry: Registry, ttl: float = 60):
         self.spark, self.registry = spark, registry
-        self.champion = Champion(registry, lambda name: load_model(os.path.join(registry.root, "artifacts", name)), ttl)
+        self.champion = Champion(registry, self._load, ttl)
+
+    def _load(self, name: str):
+        """The model of an artifact, refused where it was made with other features."""
+        self.registry.meta(name, features.feature_hash())
+        return load_model(os.path.join(self.registry.root, "artifacts", name))
 
     def predict(self, body) -> dict:
         rows = checked(body)
