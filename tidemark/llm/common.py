@@ -30,16 +30,30 @@ def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
 FILTER_BITS = 1 << 24
 
 
-def among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows of df whose key may be among the wanted ones (one column): all that are, and the more others the more are wanted.
+def _marked(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """df with _may: whether the key may be among the wanted ones, by a hashed set of FILTER_BITS bits; false: it is not.
 
-    A hashed bit set of FILTER_BITS bits, so what is broadcast is at most FILTER_BITS / 64 rows, however many are wanted.
+    What is broadcast is at most FILTER_BITS / 64 rows, however many are wanted; the more are, the more others are marked.
     """
-    name = wanted.columns[0]
     bit = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS))
-    words = wanted.select(bit(name).alias("_bit")).select(F.shiftright("_bit", 6).alias("_word"), F.expr("shiftleft(1L, cast(_bit & 63 AS int))").alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
-    marked = df.withColumn("_bit", bit(key)).withColumn("_word", F.shiftright("_bit", 6))
-    return marked.join(F.broadcast(words), "_word").where("(shiftright(_bits, cast(_bit & 63 AS int)) & 1L) = 1").select(*df.columns)
+    words = wanted.select(bit(wanted.columns[0]).alias("_bit")).select(F.shiftright("_bit", 6).alias("_word"), F.expr("shiftleft(1L, cast(_bit & 63 AS int))").alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    marked = df.withColumn("_bit", bit(key)).withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(words), "_word", "left")
+    return marked.select(*df.columns, F.expr("coalesce(shiftright(_bits, cast(_bit & 63 AS int)) & 1L, 0L) = 1").alias("_may"))
+
+
+def among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of df whose key may be among the wanted ones (one column): all that are, and some others."""
+    return _marked(df, key, wanted).where("_may").drop("_may")
+
+
+def apart(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The other rows: those whose key is surely not among the wanted ones."""
+    return _marked(df, key, wanted).where("NOT _may").drop("_may")
+
+
+def without(df: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows of df whose key (not null) is none of `gone` (one column); only rows that may be are shuffled."""
+    return apart(df, key, gone).unionByName(among(df, key, gone).join(gone.withColumnRenamed(gone.columns[0], key).hint("merge"), key, "left_anti").select(*df.columns))
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -181,7 +181,14 @@ def dedup_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_doc
     """rid, doc_id, n_lines, n_dropped, kept (the text of the lines that stay)."""
     keys = common.keyed(docs)
     marks = dropped_lines(keys, depth, least, min_docs, agree)
-    return keys.join(marks.hint("merge"), "rid", "left").select("rid", "doc_id", "text", "gone").mapInArrow(_drop, "rid long, doc_id long, n_lines long, n_dropped long, kept string")
+    return _with_marks(keys.select("rid", "doc_id", "text"), "rid", marks).mapInArrow(_drop, "rid long, doc_id long, n_lines long, n_dropped long, kept string")
+
+
+def _with_marks(rows: DataFrame, key: str, marks: DataFrame) -> DataFrame:
+    """rows with the second column of marks, null where there is none; only rows that may have marks are shuffled."""
+    name, ids = marks.columns[1], marks.select(key)
+    plain = common.apart(rows, key, ids).withColumn(name, F.lit(None).cast("array<long>"))
+    return plain.unionByName(common.among(rows, key, ids).join(marks.hint("merge"), key, "left").select(*rows.columns, name))
 
 
 def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree: float | None) -> DataFrame:
@@ -244,4 +251,4 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs
                 cols[sized] = pa.array(list(map(len, kept)), pa.int64()).cast(cols[sized].type)
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
 
-    return rows.join(marks.hint("merge"), "_rid", "left").select(*docs.columns, "_gone").mapInArrow(rewrite, docs.schema)
+    return _with_marks(rows.select(*docs.columns, "_rid"), "_rid", marks).drop("_rid").mapInArrow(rewrite, docs.schema)

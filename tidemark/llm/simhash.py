@@ -163,7 +163,8 @@ def keep_first(docs: DataFrame, words: int = WORDS, similarity: float | None = N
     grouped = (lambda d: clusters(d, words)) if similarity is None else (lambda d: near_copies.clusters(d, words, similarity))
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
     if not odd:
-        return docs.join(grouped(docs).where("rid = first").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+        gone = common.materialize(grouped(docs).where("rid <> first").select("doc_id"), "gone")
+        return common.without(docs, "doc_id", gone)
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     rows = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()), "rows")
     kept = grouped(rows.select(F.col("_row").alias("doc_id"), "text")).where("rid = first").select(F.col("doc_id").alias("_row"))
