@@ -9,7 +9,7 @@ verified: the share of the item's shingles that the whole document has.
 Scale. One pass over the documents without shuffle; items come in blocks of at most `block_items`, so what is sent to the tasks is bounded
 however long the benchmark is.
 
-Defined cases. Null or blank texts have no shingles and match nothing; one to four words are one shingle. Null ids are carried along,
+Defined cases. Null or blank texts have no shingles and match nothing; a very long text is searched whole, window by window; one to four words are one shingle. Null ids are carried along,
 repeated rows give rows of their own; an empty table on either side gives no rows.
 """
 

@@ -7,7 +7,8 @@ sequence, first sequence, offset) whatever the number of documents. Each piece t
 Scale. One encoding pass. Ranks are counted in salted groups of a length, so that a length that most pieces share is spread; the plan's size
 depends on `capacity` alone.
 
-Defined cases. Null text: empty, just the end id. Null ids and repeated rows are documents of their own; an empty table gives no pieces.
+Defined cases. Null text: empty, just the end id. A very long text is cut into many pieces. Null ids and repeated rows are documents of their
+own; an empty table gives no pieces.
 """
 
 from __future__ import annotations

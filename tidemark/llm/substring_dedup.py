@@ -9,7 +9,7 @@ same words start earlier. Then the run joins the log and runs of one level are c
 Scale. A row for about seven words, aggregated inside a task first, so a phrase in a third of all rows leaves a task once. Joins are plain
 equi-joins; groups of an anchor with more than `group_limit` phrases are cut into runs of windows that are counted as rows, not in one task.
 
-Defined cases. Null text: no words. Texts under `width` words keep all. Null ids come first and ties of ids go by text; an empty table
+Defined cases. Null text: no words. Texts under `width` words keep all, very long ones are read in overlapping blocks. Null ids come first and ties of ids go by text; an empty table
 gives an empty result; other columns are ignored.
 """
 

@@ -11,7 +11,7 @@ Scale. One text pass makes about one row for 65 bytes. Counts are partial aggreg
 lead back are plain equi-joins that AQE may split. Trigger groups with more than `group_limit` distinct phrases go another, equally exact
 way: their phrases are cut into runs of windows by the trigger's offset, which are counted as rows, so no task holds such a group.
 
-Defined cases. Null text: empty. Texts under `length` bytes: nothing is removed. Null ids are kept as null, rows that repeat an id and a
+Defined cases. Null text: empty. Texts under `length` bytes: nothing is removed. Very long texts are read in overlapping blocks. Null ids are kept as null, rows that repeat an id and a
 text count as two documents, an empty table gives an empty result; other columns are ignored.
 """
 
