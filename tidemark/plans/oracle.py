@@ -122,7 +122,7 @@ ORACLE_SQL: dict[str, str] = {
     "check_keys": _with("fct", sql="SELECT count(*) AS total, count(DISTINCT article_key) AS \"distinct\" FROM fct"),
     "check_expected_sources": _with("fct", sql="SELECT e.source, coalesce((SELECT bool_or(fetched_at > TIMESTAMP '2024-03-20 00:00:00' - INTERVAL 480 HOUR) FROM fct WHERE fct.source = e.source), false) AS reported FROM (SELECT unnest(['src0', 'src1', 'src2', 'srcX']) AS source) e"),
     "check_feed_silence": _with("fct", sql="SELECT f.feed_id, a.age AS freshest_age_hours, CASE WHEN a.n IS NULL THEN 'absent' WHEN a.age > 300 THEN 'abandoned' ELSE 'fresh' END AS state FROM (SELECT unnest(['src0:click', 'src0:view', 'src1:view', 'src2:error', 'src3:signup', 'src4:purchase', 'srcX:view']) AS feed_id) f LEFT JOIN (SELECT feed_id, min(date_diff('hour', published_at, fetched_at)) AS age, count(*) AS n FROM fct GROUP BY 1) a USING (feed_id)"),
-    "check_low_leakage": _with("fct", sql="SELECT source, avg(CASE WHEN url_leaks_label THEN 1.0::DOUBLE ELSE 0 END) AS leak FROM fct GROUP BY 1 HAVING avg(CASE WHEN url_leaks_label THEN 1.0::DOUBLE ELSE 0 END) < 0.65"),
+    "check_low_leakage": _with("fct", sql="SELECT source, avg(CASE WHEN url_leaks_label THEN 1.0::DOUBLE ELSE 0 END) AS leak FROM fct GROUP BY 1 HAVING avg(CASE WHEN url_leaks_label THEN 1.0::DOUBLE ELSE 0 END) < 0.67"),
     "mcnemar_p": _with("pred", sql="SELECT b AS only_champion, c AS only_challenger, CASE WHEN b + c = 0 THEN 1.0::DOUBLE ELSE round(least(1.0::DOUBLE, 2 * (SELECT sum(exp(lgamma(b + c + 1.0::DOUBLE) - lgamma(i + 1.0::DOUBLE) - lgamma(b + c - i + 1.0::DOUBLE) - (b + c) * ln(2.0::DOUBLE))) FROM range(0, least(b, c) + 1) AS r(i))), 12) END AS p FROM (SELECT count(*) FILTER (WHERE champion = y_true AND challenger <> y_true) AS b, count(*) FILTER (WHERE champion <> y_true AND challenger = y_true) AS c FROM pred)"),
     "confidence_gap": _with("pred", sql="SELECT round(avg(confidence) - avg(CASE WHEN champion = y_true THEN 1.0::DOUBLE ELSE 0 END), 9) AS overconfident_by FROM pred"),
     "confusion": _with("pred", sql="SELECT y_true, challenger AS y_pred, count(*) AS n FROM pred GROUP BY 1, 2"),

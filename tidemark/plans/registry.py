@@ -203,7 +203,7 @@ QUERIES: dict[str, Query] = {
     "check_keys": _on("fct_articles", checks.key_counts),
     "check_expected_sources": _on("fct_articles", lambda x: checks.expected_sources(x, EXPECTED, "2024-03-20 00:00:00", 480)),
     "check_feed_silence": _on("fct_articles", lambda x: checks.feed_silence(x, FEEDS, 300)),
-    "check_low_leakage": _on("fct_articles", lambda x: checks.low_leakage(x, 0.65)),
+    "check_low_leakage": _on("fct_articles", lambda x: checks.low_leakage(x, 0.67)),
     "confidence_gap": _gap,
     "lsh_report": lambda s, d: similar.cluster_report(adapters.articles(s, d).select(F.col("article_key").alias("key"), "title")),
     "confusion": _predictions(lambda p: E.confusion(p, "challenger")),
