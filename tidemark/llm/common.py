@@ -27,6 +27,19 @@ def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's limit on the bytes of an Arrow batch to BATCH_BYTES: a task holds a batch several times over as Python objects.
+
+    The number of rows alone would not bound it where texts are long; a single longer text is a batch of its own.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) != f"{BATCH_BYTES}b":
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 FILTER_BITS = 1 << 24
 
 

@@ -193,6 +193,7 @@ def _with_marks(rows: DataFrame, key: str, marks: DataFrame) -> DataFrame:
 
 def dropped_lines(keys: DataFrame, depth: int, least: int, min_docs: int, agree: float | None) -> DataFrame:
     """rid, gone (numbers of the lines that go), of rows with rid and text."""
+    common.small_batches(keys.sparkSession)
     lines = common.materialize(keys.select("rid", "text").mapInArrow(_lines(depth), "leaf long, t long, rid long, line long, fresh int"), "lines")
     first = F.min(F.struct("rid", "line"))
     # Counted by template first, so that a common line is one row of its leaf.

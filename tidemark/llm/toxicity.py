@@ -144,6 +144,7 @@ def _fit(at: np.ndarray, size: np.ndarray, y: np.ndarray, r: np.ndarray, rounds:
 
 def train(docs: DataFrame, labels: DataFrame, grams: tuple[int, ...] = GRAMS, bits: int = BITS, kept: int = KEPT, fit_rows: int = FIT_ROWS, rounds: int = ROUNDS, penalty: float = PENALTY, fit_values: int = FIT_VALUES) -> Model:
     """Fits on labelled documents outside the held-out fifth."""
+    common.small_batches(docs.sparkSession)
     truth = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("y IN (0, 1)").where(~held_out(F.col("doc_id")))
     known = common.materialize(common.among(common.id_text(docs), "doc_id", truth.select("doc_id")).join(truth.hint("merge"), "doc_id").select("doc_id", "text", "y"), "labelled")
     counts = known.select("text", "y").mapInArrow(_counts(grams, bits), "feature int, pos long, neg long, docs_pos long, docs_neg long").groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "docs_pos", "docs_neg")])
