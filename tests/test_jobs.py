@@ -29,6 +29,10 @@ def test_cycle(spark, tmp_path):
     assert first.landed == {"a": 3} and second.landed == {} and pauses == [1.0] * 6
     assert first.by_status == {"ok": 2, "failed": 1, "not_modified": 1} and first.lost == {"b"} and first.stale == {"c"} and not first.healthy
     assert "b:x" in first.summary() and first.by_source["a"] == {"feeds": 2, "ok": 2, "failed": 0, "landed": 3}
+    assert first.samples == {}
+    answers["u1"] = ("ok", b"<rss><channel>" + b"<item><title>left</title></item>" * 4 + b"</channel></rss>")
+    third = go()
+    assert third.samples == {"a:x": ["no link: left"] * 3} and third.failures["no link"] == ["a:x"] and "a:x: no link: left" in third.summary()
     with pytest.raises(KeyError):
         cycle.feeds_for(feeds, "zzz")
 

@@ -25,6 +25,43 @@ def test_parse_feed(spark):
     assert (good[0].title, good[0].summary, good[0].canonical_url, good[0].published_at) == ("Harga emas naik", "Isi berita", "https://x.com/a", "2026-07-29T07:00:00Z")
 
 
+ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>Feed</title><link href="https://y.com/"/>
+<entry><title type="html">Harga &lt;i&gt;beras&lt;/i&gt;</title><link rel="edit" href="https://y.com/edit/1"/><link href="https://y.com/b"/><id>1</id><summary>Isi</summary><updated>2026-07-29T07:00:00Z</updated><author><name>A</name></author><rights>free</rights><category term="x"/></entry>
+<entry><title>other</title><link rel="alternate" href="https://y.com/c"/><published>2026-07-29T08:00:00+01:00</published><updated>2026-07-30T07:00:00Z</updated></entry></feed>"""
+MORE = """<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>c</title><item><title>t</title><link> https://x.com/d </link><guid>9</guid><category>sports</category><dc:creator>Rina</dc:creator><dc:subject>sports</dc:subject><comments>3</comments></item>
+<item><link>https://x.com/e</link></item><item><title>a</title></item><item><title>b</title></item><item><title>c</title></item></channel></rss>"""
+
+
+def bodies(spark, *texts):
+    rows = [("s", "c", "k", f"s:{i}", t, "2026-07-29T08:00:00+00:00") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "source string, channel string, kanal string, feed_id string, body string, fetched_at string")
+
+
+def test_atom(spark):
+    rows = {r.raw_link: r for r in L.parse_feed(bodies(spark, ATOM)).collect()}
+    assert set(rows) == {"https://y.com/b", "https://y.com/c"} and all(r.failure is None for r in rows.values())
+    first, second = rows["https://y.com/b"], rows["https://y.com/c"]
+    assert (first.title, first.summary, first.published_at, second.published_at) == ("Harga beras", "Isi", "2026-07-29T07:00:00Z", "2026-07-29T07:00:00Z")
+    assert json.loads(first.extra) == {"rights": "free"} and json.loads(second.extra) == {}
+
+
+def test_extra_holds_no_label(spark):
+    got = [r for r in L.parse_feed(bodies(spark, MORE)).collect() if r.failure is None]
+    assert [json.loads(r.extra) for r in got] == [{"dc:creator": "Rina", "comments": "3"}]
+    assert [r.raw_link for r in got] == ["https://x.com/d"]
+
+
+def test_parse_report(spark):
+    empty = "<rss><channel><title>c</title></channel></rss>"
+    rows = {r.feed_id: r for r in L.parse_report(bodies(spark, MORE, empty, "not xml <", None, "", RSS)).collect()}
+    assert (rows["s:0"].entries, rows["s:0"].failures, rows["s:0"].failure_rate) == (5, 4, 0.8)
+    assert rows["s:0"].samples == ["no title: https://x.com/e", "no link: a", "no link: b"]
+    assert (rows["s:1"].entries, rows["s:1"].failures, rows["s:1"].failure_rate, rows["s:1"].samples) == (0, 0, 0.0, [])
+    for k in "234":
+        assert (rows[f"s:{k}"].entries, rows[f"s:{k}"].failures, rows[f"s:{k}"].samples) == (0, 1, ["no XML"]), k
+    assert (rows["s:5"].entries, rows["s:5"].failures) == (3, 1)
+
+
 def test_land_and_load(spark, tmp_path):
     root, table, log = (str(tmp_path / x) for x in ("raw", "table", "log"))
     L.land(frame(spark, [record(k) for k in "123"]), root)

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.landing import StateStore, existing_keys, fetch, land, parse_feed
+from tidemark.sources.landing import StateStore, existing_keys, fetch, land, parse_feed, parse_report
 
 BODIES = "source string, channel string, kanal string, feed_id string, body string, fetched_at string"
 
@@ -47,6 +47,7 @@ class CycleReport:
     unreachable: frozenset[str] = frozenset()
     landed: dict[str, int] = field(default_factory=dict)
     failures: dict[str, list[str]] = field(default_factory=dict)  # reason: feeds
+    samples: dict[str, list[str]] = field(default_factory=dict)  # feed: its first failures
 
     @property
     def by_status(self) -> dict[str, int]:
@@ -86,6 +87,7 @@ class CycleReport:
         lines = ["status: " + ", ".join(f"{k} {v}" for k, v in sorted(self.by_status.items()))]
         lines += [f"  {'!' if s in self.lost else ' '} {s}: {v['ok']} of {v['feeds']} feeds, {v['landed']} landed" for s, v in sorted(self.by_source.items())]
         lines += [f"  failed, {reason}: {', '.join(names[:4])}{f' and {len(names) - 4} more' if len(names) > 4 else ''}" for reason, names in sorted(self.failures.items())]
+        lines += [f"  {name}: {text}" for name, texts in sorted(self.samples.items()) for text in texts]
         lines += [f"  {s} is declared unreachable but answered" for s in sorted(self.stale)]
         return "\n".join(lines)
 
@@ -109,9 +111,11 @@ def run_cycle(spark: SparkSession, feeds: list[Feed], root: str, state: str, del
             reasons[status].append(feed.feed_id)
     store.save()
     if bodies:
-        rows = parse_feed(spark.createDataFrame(bodies, BODIES)).persist()
+        sent = spark.createDataFrame(bodies, BODIES)
+        rows = parse_feed(sent).persist()
         for r in rows.where("failure IS NOT NULL").select("failure", "feed_id").distinct().collect():
             reasons[r["failure"]].append(r["feed_id"])
+        report.samples = {r["feed_id"]: list(r["samples"]) for r in parse_report(sent).where("failures > 0").collect()}
         fresh = _fresh(spark, rows.where("failure IS NULL").drop("failure"), root, {(b[0], b[5][:10]) for b in bodies}).persist()
         report.landed = {r["source"]: r["count"] for r in fresh.groupBy("source").count().collect()}
         land(fresh, root)

@@ -1,4 +1,4 @@
-"""Feeds to tables: fetching, parsing RSS, the landing zone, idempotent loads."""
+"""Feeds to tables: fetching, parsing RSS and Atom, the landing zone, idempotent loads."""
 
 from __future__ import annotations
 
@@ -90,21 +90,55 @@ def parse_time(x):
     return F.coalesce(F.try_to_timestamp(bare, F.lit("dd MMM yyyy HH:mm:ss Z")), F.try_to_timestamp(x))
 
 
-def parse_feed(bodies: DataFrame) -> DataFrame:
-    """Items of RSS bodies (source, channel, kanal, feed_id, body, fetched_at): one record each, the first of each key within its response.
+# Element names that are columns already, or that tell the label.
+NOT_EXTRA = ("title", "summary", "description", "link", "id", "guid", "published", "pubDate", "updated", "dc:date", "category", "dc:subject", "keywords")
+_ITEM = "struct<title string, link string, description string, pubDate string>"
+_ENTRY = "struct<title string, link array<struct<_href string, _rel string>>, summary string, published string, updated string>"
+# The corrupt column stays last: elsewhere Spark fills the wrong field.
+_FEED = "channel struct<item array<{item}>>, entry array<{entry}>, _corrupt_record string"
+SAMPLES = 3
+
+
+def entries(bodies: DataFrame) -> DataFrame:
+    """Items of RSS bodies and entries of Atom bodies (source, channel, kanal, feed_id, body, fetched_at), with `pos` and, for a bad one, `failure`.
 
-    An item without link or title gives a row with `failure` set and no key.
+    `extra` holds what else an item has as plain text, but for NOT_EXTRA and nested elements. An item without link or title gives a row with
+    `failure` set and no key; so does, once, a body that is no XML and has no items. A sound body without items gives no row.
     """
-    item = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "link", "description", "pubDate", "guid", "author")])
-    shape = T.StructType([T.StructField("channel", T.StructType([T.StructField("item", T.ArrayType(item))]))])
-    rows = bodies.select("*", F.posexplode_outer(F.from_xml("body", shape)["channel"]["item"]).alias("pos", "i"))
-    url = canonical_url(F.col("i.link"))
-    rows = rows.select("source", "channel", "kanal", "feed_id", "fetched_at", "pos", F.col("i.link").alias("raw_link"), F.col("i.pubDate").alias("sent"), C.clean_text(strip_html("i.title")).alias("title"), C.clean_text(strip_html("i.description")).alias("summary"), url.alias("canonical_url"), F.to_json(F.struct(F.col("i.author").alias("author"), F.col("i.guid").alias("guid"))).alias("extra"))
-    rows = rows.withColumns({"failure": F.when(F.col("canonical_url").isNull(), "no link").when(F.col("title") == "", "no title"), "published_at": F.date_format(parse_time(F.col("sent")), "yyyy-MM-dd'T'HH:mm:ssXXX")})
+    read = lambda item, entry: F.from_xml("body", T._parse_datatype_string(_FEED.format(item=item, entry=entry)))
+    rows = bodies.select("source", "channel", "kanal", "feed_id", "fetched_at", read(_ITEM, _ENTRY).alias("x"), read("map<string,string>", "map<string,string>").alias("m"))
+    main = lambda links: F.filter(links, lambda x: (F.coalesce(x["_rel"], F.lit("alternate")) == "alternate") & x["_href"].isNotNull())
+    item = lambda i: F.struct(i["title"].alias("title"), i["link"].alias("link"), i["description"].alias("summary"), i["pubDate"].alias("sent"))
+    entry = lambda e: F.struct(e["title"].alias("title"), F.try_element_at(main(e["link"]), F.lit(1))["_href"].alias("link"), e["summary"].alias("summary"), F.coalesce(e["published"], e["updated"]).alias("sent"))
+    none = F.expr("array()")
+    both = F.concat(F.coalesce(F.transform("x.channel.item", item), none), F.coalesce(F.transform("x.entry", entry), none))
+    more = F.concat(F.coalesce("m.channel.item", none), F.coalesce("m.entry", none))
+    unread = (F.size(both) == 0) & (F.col("x").isNull() | F.col("x._corrupt_record").isNotNull())
+    rows = rows.select("*", unread.alias("unread"), both.alias("both"), more.alias("more")).select("*", F.posexplode_outer("both").alias("pos", "i")).where("pos IS NOT NULL OR unread")
+    other = F.map_filter(F.try_element_at("more", F.col("pos") + 1), lambda k, v: ~k.isin(*NOT_EXTRA) & ~k.startswith("_") & (F.trim(v) != "") & ~F.trim(v).startswith("<"))
+    link = F.trim("i.link")
+    rows = rows.select("source", "channel", "kanal", "feed_id", "fetched_at", "unread", F.coalesce("pos", F.lit(0)).alias("pos"), link.alias("raw_link"), F.col("i.sent").alias("sent"), C.clean_text(strip_html("i.title")).alias("title"), C.clean_text(strip_html("i.summary")).alias("summary"), canonical_url(link).alias("canonical_url"), F.to_json(F.coalesce(other, F.expr("map()"))).alias("extra"))
+    rows = rows.withColumns({"failure": F.when(F.col("unread"), "no XML").when(F.col("canonical_url").isNull() | (F.col("raw_link") == ""), "no link").when(F.coalesce("title", F.lit("")) == "", "no title"), "published_at": F.date_format(parse_time(F.col("sent")), "yyyy-MM-dd'T'HH:mm:ssXXX")})
     rows = rows.withColumns({"article_key": F.when(F.col("failure").isNull(), C.article_key(F.col("canonical_url"))), "title_fingerprint": C.fingerprint(F.col("title")), "schema_version": F.lit(1)})
-    names = [f.name for f in T._parse_datatype_string(RECORD).fields] + ["failure"]
-    good = first_seen(rows.where("failure IS NULL").withColumn("_k", F.concat_ws("|", "feed_id", "article_key")), "_k", "pos").select(*names)
-    return good.union(rows.where("failure IS NOT NULL").select(*names))
+    return rows.select(*(f.name for f in T._parse_datatype_string(RECORD).fields), "failure", "pos")
+
+
+def parse_feed(bodies: DataFrame) -> DataFrame:
+    """The records of all bodies, the first of each key within its response, and the failures (`failure` set, no key)."""
+    rows = entries(bodies)
+    good = first_seen(rows.where("failure IS NULL").withColumn("_k", F.concat_ws("|", "feed_id", "article_key")), "_k", "pos")
+    names = [n for n in rows.columns if n != "pos"]
+    return good.select(*names).union(rows.where("failure IS NOT NULL").select(*names))
+
+
+def parse_report(bodies: DataFrame) -> DataFrame:
+    """feed_id, entries, failures, failure_rate and the first SAMPLES failures of each feed; a feed without items has zeros."""
+    bad = F.col("failure").isNotNull()
+    said = F.when(bad, F.struct("pos", F.substring(F.concat_ws(": ", "failure", F.coalesce(F.nullif("title", F.lit("")), "raw_link")), 1, 200).alias("text")))
+    got = entries(bodies).groupBy("feed_id").agg(F.count(F.when(~F.col("failure").eqNullSafe("no XML"), 1)).alias("entries"), F.count(F.when(bad, 1)).alias("failures"), F.slice(F.array_sort(F.collect_list(said)), 1, SAMPLES).alias("s"))
+    rows = bodies.select("feed_id").distinct().join(got, "feed_id", "left")
+    count = lambda c: F.coalesce(c, F.lit(0))
+    return rows.select("feed_id", count("entries").alias("entries"), count("failures").alias("failures"), F.coalesce(F.try_divide("failures", "entries"), F.lit(0.0)).alias("failure_rate"), F.coalesce("s.text", F.expr("array()")).alias("samples"))
 
 
 def land(records: DataFrame, root: str, known: DataFrame | None = None) -> None:
