@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,6 +41,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """small_batches for what runs inside; behind it the session's setting is as it was."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    small_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 FILTER_BITS = 1 << 24
 
 
