@@ -3,6 +3,7 @@ import json
 import urllib.error
 
 from tidemark.sources import landing as L
+from tidemark.sources.tables import Snapshots
 from tidemark.streaming import ingest
 
 RSS = """<rss><channel><item><title>Harga &lt;b&gt;emas&lt;/b&gt; naik</title><link>https://www.x.com/a/?utm_source=feed</link><description>ANTARA - Isi berita</description><pubDate>Wed, 29 Jul 2026 14:00:00 +0700</pubDate></item>
@@ -63,14 +64,14 @@ def test_parse_report(spark):
 
 
 def test_land_and_load(spark, tmp_path):
-    root, table, log = (str(tmp_path / x) for x in ("raw", "table", "log"))
+    root, store = str(tmp_path / "raw"), Snapshots(spark, str(tmp_path / "warehouse"))
     L.land(frame(spark, [record(k) for k in "123"]), root)
-    assert L.load(spark, root, table, log)["rows_added"] == 3
+    assert L.load(spark, root, store)["rows_added"] == 3
     L.land(frame(spark, [record(k, fetched="2026-07-30T08:00:00+00:00") for k in "345"]), root)
-    got = L.load(spark, root, table, log)
+    got = L.load(spark, root, store)
     assert (got["rows_read"], got["rows_added"]) == (3, 2)
-    assert L.load(spark, root, table, log) == {"files_loaded": 0, "rows_read": 0, "rows_added": 0}
-    assert L.load(spark, root, table, log, force=True)["rows_added"] == 0
+    assert L.load(spark, root, store) == {"files_loaded": 0, "rows_read": 0, "rows_added": 0}
+    assert L.load(spark, root, store, force=True)["rows_added"] == 0
     assert {r.article_key for r in L.existing_keys(spark, root, "s", "2026-07-30", 0).collect()} == set("345")
     known = L.existing_keys(spark, root, "s", "2026-07-30", 3)
     L.land(frame(spark, [record("1"), record("1", source="other")]), root, known)
@@ -78,13 +79,13 @@ def test_land_and_load(spark, tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    root, table = str(tmp_path / "raw"), str(tmp_path / "table")
+    root, table = str(tmp_path / "raw"), Snapshots(spark, str(tmp_path / "warehouse"))
     L.land(frame(spark, [record("1"), record("2"), record("2", source="other")]), root)
     ingest.run_available(spark, root, table, str(tmp_path / "cp"))
     ingest.run_available(spark, root, table, str(tmp_path / "cp"))
     L.land(frame(spark, [record("2"), record("3")]), root)
     ingest.run_available(spark, root, table, str(tmp_path / "cp"))
-    assert sorted(r.article_key for r in spark.read.parquet(table).collect()) == ["1", "2", "3"]
+    assert sorted(r.article_key for r in table.read("articles").collect()) == ["1", "2", "3"]
 
 
 def test_fetch(tmp_path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import functools
 import json
 import os
 import sys
@@ -10,29 +11,36 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import session
+from tidemark.settings import BadSetting, Settings
 
-STATE, TABLE, LOG = "feeds.json", "articles", "load_log"
+STATE = "feeds.json"
 
 
 def _spark() -> SparkSession:
     return session("tidemark", None if os.environ.get("SPARK_REMOTE") or os.environ.get("MASTER") else "local[*]")
 
 
+def warehouse(spark: SparkSession, data: str):
+    from tidemark.sources.tables import Snapshots
+
+    return Snapshots(spark, f"{data}/warehouse")
+
+
 def facts(spark: SparkSession, data: str, taxonomy: str | None) -> DataFrame:
     """The fact table over what is loaded, with a taxonomy from CSV (source, channel, kanal, confidence, notes) if there is one."""
     from tidemark.operators import articles as A
 
-    shape = "source string, channel string, kanal string, confidence string, notes string"
-    t = spark.read.schema(shape).option("header", True).csv(taxonomy) if taxonomy else spark.createDataFrame([], shape)
-    return A.facts(A.labelled(A.deduped(A.staging(spark.read.parquet(f"{data}/{TABLE}"))), t))
+    return A.facts(A.labelled(A.deduped(A.staging(warehouse(spark, data).read("articles"))), taxonomy_of(spark, taxonomy)))
 
 
 def ingest(a) -> int:
-    from tidemark.sources import cycle
+    from tidemark.sources import cycle, landing
 
     feeds = cycle.feeds_for(cycle.read_feeds(a.feeds), a.source)
     os.makedirs(a.data, exist_ok=True)
-    report = cycle.run_cycle(_spark(), feeds, f"{a.data}/raw", f"{a.data}/{STATE}", 0 if a.no_delay else 1.0, frozenset(a.unreachable))
+    own = a.settings
+    poll = functools.partial(landing.fetch, retries=own.retries, base=own.backoff, breaker=own.breaker, pause=own.pause)
+    report = cycle.run_cycle(_spark(), feeds, f"{a.data}/raw", f"{a.data}/{STATE}", 0 if a.no_delay else own.delay, frozenset(a.unreachable), poll=poll, lookback=own.lookback)
     print(report.summary())
     return 0 if report.healthy else 1
 
@@ -40,10 +48,29 @@ def ingest(a) -> int:
 def load(a) -> int:
     from tidemark.sources import landing
 
-    print(json.dumps(landing.load(_spark(), f"{a.data}/raw", f"{a.data}/{TABLE}", f"{a.data}/{LOG}", a.force)))
+    spark = _spark()
+    print(json.dumps(landing.load(spark, f"{a.data}/raw", warehouse(spark, a.data), a.force)))
     return 0
 
 
+def taxonomy_of(spark: SparkSession, path: str | None) -> DataFrame:
+    shape = "source string, channel string, kanal string, confidence string, notes string"
+    return spark.read.schema(shape).option("header", True).csv(path) if path else spark.createDataFrame([], shape)
+
+
+def transform(a) -> int:
+    """Brings facts and marts up to what is loaded, the changed days only, and runs the blocking checks; 1 if one of them fails."""
+    from tidemark.operators import checks
+    from tidemark.plans import daily
+
+    spark = _spark()
+    store = warehouse(spark, a.data)
+    days = daily.refresh(store, taxonomy_of(spark, a.taxonomy), a.full)
+    keys = checks.key_counts(daily.facts(store)).first()
+    print(json.dumps({"days": days, "articles": keys["total"]}))
+    return 0 if keys["total"] == keys["distinct"] else 1
+
+
 def export(a) -> int:
     from tidemark.operators import articles as A
 
@@ -84,8 +111,14 @@ def status(a) -> int:
     feeds, raw = cycle.read_feeds(a.feeds), f"{a.data}/raw"
     n = _spark().read.option("recursiveFileLookup", True).text(raw).where("trim(value) <> ''").count() if os.path.isdir(raw) else 0
     print(f"landing zone: {raw}\narticles: {n}\nfeeds: {len(feeds)}")
-    for s in sorted({f.source for f in feeds}):
-        print(f"  {s}: {sum(f.source == s for f in feeds)} feeds")
+    rates = {}
+    if os.path.isdir(f"{a.data}/warehouse"):
+        from tidemark.operators import articles as A
+
+        rates = {r["source"]: r for r in A.source_rates(A.staging(warehouse(_spark(), a.data).read("articles"))).collect()}
+    for s in sorted({f.source for f in feeds} | set(rates)):
+        leak = f", {rates[s]['articles']} loaded, URLs tell the label of {rates[s]['leak_rate']:.1%}{'' if rates[s]['is_clean'] else ' (leaks)'}" if s in rates else ""
+        print(f"  {s}: {sum(f.source == s for f in feeds)} feeds{leak}")
     return 0
 
 
@@ -129,9 +162,11 @@ def rollback(a) -> int:
 
 
 def decisions(a) -> int:
+    from tidemark.plans.store import decision_summary
+
     r = _registry(a)
     for d in r.decisions(None if a.all else a.limit):
-        print(json.dumps(d))
+        print(json.dumps(d) if a.json else decision_summary(d))
     print(f"{len(r.decisions())} decisions, {len(r.decisions(refused=True))} refused")
     return 0
 
@@ -139,28 +174,35 @@ def decisions(a) -> int:
 def serve(a) -> int:
     from tidemark.serving import Service, server
 
-    server(Service(_spark(), _registry(a)), a.host, a.port).serve_forever()
+    server(Service(_spark(), _registry(a), a.settings.alias_ttl), a.host, a.port).serve_forever()
     return 0
 
 
 OPTIONS: dict[str, tuple] = {
-    "feeds": ("--feeds", {"default": "feeds.json"}), "source": ("--source", {}), "no_delay": ("--no-delay", {"action": "store_true"}), "unreachable": ("--unreachable", {"nargs": "*", "default": []}),
+    "feeds": ("--feeds", {}), "source": ("--source", {}), "no_delay": ("--no-delay", {"action": "store_true"}), "unreachable": ("--unreachable", {"nargs": "*"}),
     "force": ("--force", {"action": "store_true"}), "taxonomy": ("--taxonomy", {}), "out": ("--out", {}), "export_dir": ("--export-dir", {}), "repo": ("--repo", {}), "private": ("--private", {"action": "store_true"}),
-    "dry_run": ("--dry-run", {"action": "store_true"}), "registry": ("--registry", {}), "random_split": ("--random-split", {"action": "store_true"}), "resamples": ("--resamples", {"type": int, "default": 10_000}),
-    "limit": ("--limit", {"type": int, "default": 10}), "all": ("--all", {"action": "store_true"}), "host": ("--host", {"default": "127.0.0.1"}), "port": ("--port", {"type": int, "default": 8000}),
+    "full": ("--full", {"action": "store_true"}), "json": ("--json", {"action": "store_true"}), "dry_run": ("--dry-run", {"action": "store_true"}), "registry": ("--registry", {}), "random_split": ("--random-split", {"action": "store_true"}), "resamples": ("--resamples", {"type": int, "default": 10_000}),
+    "limit": ("--limit", {"type": int, "default": 10}), "all": ("--all", {"action": "store_true"}), "host": ("--host", {}), "port": ("--port", {"type": int}),
 }
-COMMANDS = {ingest: "feeds source no_delay unreachable", load: "force", export: "taxonomy out", publish: "export_dir repo private dry_run", status: "feeds", train: "taxonomy registry random_split resamples", champion: "registry", rollback: "registry", decisions: "registry limit all", serve: "registry host port"}
+COMMANDS = {ingest: "feeds source no_delay unreachable", load: "force", transform: "taxonomy full", export: "taxonomy out", publish: "export_dir repo private dry_run", status: "feeds", train: "taxonomy registry random_split resamples", champion: "registry", rollback: "registry", decisions: "registry limit all json", serve: "registry host port"}
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__)
-    parser.add_argument("--data", default="data", help="folder of the landing zone, tables, export and registry")
+    try:
+        own = Settings.from_env()
+    except BadSetting as e:
+        print(f"error: {e}", file=sys.stderr)
+        return 2
+    parser.add_argument("--data", default=own.data, help="folder of the landing zone, warehouse, export and registry")
     sub = parser.add_subparsers(required=True)
     for f, names in COMMANDS.items():
         cmd = sub.add_parser(f.__name__)
         for n in names.split():
             cmd.add_argument(OPTIONS[n][0], **OPTIONS[n][1])
-        cmd.set_defaults(run=f)
+            if n in ("feeds", "unreachable", "host", "port", "taxonomy"):
+                cmd.set_defaults(**{n: getattr(own, n)})
+        cmd.set_defaults(run=f, settings=own)
     args = parser.parse_args(argv)
     try:
         return args.run(args)

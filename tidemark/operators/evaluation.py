@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -147,17 +148,25 @@ def paired_bootstrap(rows: DataFrame, a: str = "champion", b: str = "challenger"
     return {"delta": float(delta[-1]), "lower": float(low), "upper": float(high), "resamples": resamples}
 
 
-def gate(challenger: dict, comparison: dict | None, incumbent: dict | None, split_hash: str | None, n_test: int, leaks: int, hours_since_promotion: float | None = None, slo_violated: bool = False) -> tuple[str, list[str]]:
+class GateResult(NamedTuple):
+    verdict: str
+    reasons: list[str]
+
+    def summary(self) -> str:
+        return "\n".join([self.verdict, *(f"  - {r}" for r in self.reasons)])
+
+
+def gate(challenger: dict, comparison: dict | None, incumbent: dict | None, split_hash: str | None, n_test: int, leaks: int, hours_since_promotion: float | None = None, slo_violated: bool = False) -> GateResult:
     """PROMOTE, HOLD or REJECT and why.
 
     challenger and incumbent: ece, p95_ms, cost_per_1k, f1 by label, split_hash. comparison: lower (of the interval), p.
     """
     if leaks:
-        return "REJECT", ["clusters lie in several splits"]
+        return GateResult("REJECT", ["clusters lie in several splits"])
     if not split_hash:
-        return "HOLD", ["the split has no hash"]
+        return GateResult("HOLD", ["the split has no hash"])
     if challenger.get("split_hash", split_hash) != split_hash:
-        return "REJECT", ["scored on another split"]
+        return GateResult("REJECT", ["scored on another split"])
     hold, reject = [], []
     if n_test < 150:
         hold.append("under 150 test rows")
@@ -175,7 +184,7 @@ def gate(challenger: dict, comparison: dict | None, incumbent: dict | None, spli
             hold.append("under 72 hours since the last promotion")
     if not cheap:
         reject.append("too dear")
-    return ("REJECT", reject + hold) if reject else ("HOLD", hold) if hold else ("PROMOTE", [])
+    return GateResult("REJECT", reject + hold) if reject else GateResult("HOLD", hold) if hold else GateResult("PROMOTE", [])
 
 
 def overconfidence(bins: DataFrame) -> float:

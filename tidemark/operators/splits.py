@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
-import random
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.graph import running_total, written
+
 
 def temporal_split(rows: DataFrame, anchor=None, train_days: float = 14, val_days: float = 7) -> DataFrame:
     """Adds row_split and split: by age at the anchor (the latest publication if none is given), the whole cluster with its latest member.
@@ -34,14 +35,19 @@ def random_split(rows: DataFrame, seed: int = 42, train: float = 0.7, val: float
 
 
 def exact_random_split(rows: DataFrame, seed: int = 42, train: float = 0.7, val: float = 0.15) -> DataFrame:
-    """Exact shares of clusters, in the order of Python's seeded shuffle of the sorted ids; for small sets of clusters."""
-    ids = [r[0] for r in rows.select("cluster_id").distinct().orderBy("cluster_id").collect()]
-    if not ids:
+    """Exact shares of clusters (their number times the share, rounded down), in the order of a seeded hash of their ids, ties by id.
+
+    The ids are ranked by ranges of the hash, so none are collected and no task holds them all. Empty input is an error.
+    """
+    ids = rows.select("cluster_id").distinct()
+    order = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("cluster_id").cast("string")), 256)
+    ranked = written(running_total(ids.withColumns({"_hash": order, "_one": F.lit(1)}), ["_hash", "cluster_id"], "_one", "_rank"), "ranks")
+    n = ranked.count()
+    if not n:
         raise ValueError("no clusters to split")
-    random.Random(seed).shuffle(ids)
-    a, b = int(len(ids) * train), int(len(ids) * train) + int(len(ids) * val)
-    named = [(c, "train" if k < a else "val" if k < b else "test") for k, c in enumerate(ids)]
-    return rows.join(rows.sparkSession.createDataFrame(named, f"cluster_id {dict(rows.dtypes)['cluster_id']}, split string"), "cluster_id")
+    a, b = int(n * train), int(n * train) + int(n * val)
+    name = F.when(F.col("_rank") <= a, "train").when(F.col("_rank") <= b, "val").otherwise("test")
+    return rows.join(ranked.select("cluster_id", name.alias("split")), "cluster_id")
 
 
 def spanning(split: DataFrame) -> DataFrame:
@@ -58,6 +64,14 @@ def composition(split: DataFrame, *by: str) -> DataFrame:
     return split.groupBy("split", *by).agg(F.count("*").alias("articles"))
 
 
+def compositions(split: DataFrame, *by: str) -> DataFrame:
+    """Articles by split, and by split with each of the other columns, in one pass: `by` says which column a row counts by (null: the split alone), `value` its value."""
+    sets = [["split"], *[["split", c] for c in by]]
+    got = split.groupingSets([[F.col(c) for c in s] for s in sets], "split", *by).agg(F.count("*").alias("articles"), *[F.grouping(c).alias(f"_g{k}") for k, c in enumerate(by)])
+    of = lambda f: F.coalesce(*[F.when(F.col(f"_g{k}") == 0, f(c)) for k, c in enumerate(by)])
+    return got.select("split", of(F.lit).alias("by"), of(lambda c: F.col(c).cast("string")).alias("value"), "articles")
+
+
 def warnings(split: DataFrame, least_test: int = 150, labels: int = 8, share: float = 0.8) -> list[str]:
     out = []
     n = {r["split"]: r["n"] for r in split.groupBy("split").agg(F.count("*").alias("n")).collect()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import time
 from dataclasses import asdict, dataclass, field
@@ -37,6 +38,13 @@ class TrainingRun:
     def to_dict(self) -> dict:
         return asdict(self)
 
+    def write(self, path: str) -> None:
+        """The run as JSON, replaced as a whole."""
+        tmp = f"{path}.tmp"
+        with open(tmp, "w", encoding="utf-8") as f:
+            json.dump(self.to_dict(), f, sort_keys=True, indent=1)
+        os.replace(tmp, path)
+
     def summary(self) -> str:
         lines = [f"verdict: {self.verdict}", *(f"  {r}" for r in self.reasons)]
         if self.window:
@@ -134,4 +142,6 @@ def train_and_promote(fct: DataFrame, registry: Registry, random: bool = False,
     run.verdict, run.reasons = E.gate(figures | {"split_hash": digest}, comparison, incumbent, digest, n["test"], splits.cluster_leaks(split).count(), hours)
     run.artifact = registry.register({"name": model.name, "feature_hash": features.feature_hash(), "split_hash": digest, "classes": sorted(figures["f1"]), "metrics": {k: figures[k] for k in ("macro_f1", "ece")}}, model.save)
     registry.apply(run.artifact, run.verdict, run.reasons)
+    os.makedirs(os.path.join(registry.root, "runs"), exist_ok=True)
+    run.write(os.path.join(registry.root, "runs", f"{run.artifact}.json"))
     return run

@@ -115,6 +115,10 @@ ORACLE_SQL: dict[str, str] = {
     "dup_components": _with("articles", sql="SELECT article_key, min(article_key) OVER (PARTITION BY title_fingerprint) AS component FROM articles"),
     "split_temporal": _with("split", sql="SELECT article_key, row_split, split FROM split"),
     "split_composition": _with("split", sql="SELECT split, source, kanal, count(*) AS articles FROM split GROUP BY 1, 2, 3"),
+    "split_compositions": _with("split", sql="SELECT split, CASE WHEN grouping(source) = 0 THEN 'source' WHEN grouping(kanal) = 0 THEN 'kanal' END AS by, CASE WHEN grouping(source) = 0 THEN source WHEN grouping(kanal) = 0 THEN kanal END AS value, count(*) AS articles FROM split GROUP BY GROUPING SETS ((split), (split, source), (split, kanal))"),
+    "split_exact": _with("fct", sql="SELECT article_key, CASE WHEN k <= CAST(floor(n * 0.7) AS BIGINT) THEN 'train' WHEN k <= CAST(floor(n * 0.7) AS BIGINT) + CAST(floor(n * 0.15) AS BIGINT) THEN 'val' ELSE 'test' END AS split FROM fct JOIN (SELECT cluster_id, row_number() OVER (ORDER BY sha256('42:' || cluster_id), cluster_id) AS k, count(*) OVER () AS n FROM (SELECT DISTINCT cluster_id FROM fct)) USING (cluster_id)"),
+    "feed_age_quantiles": _with("fct", sql="SELECT source, channel, kanal, quantile_cont(age_hours_at_fetch, 0.5) AS median_age_hours, round(quantile_cont(age_hours_at_fetch, 0.95), 6) AS p95_age_hours FROM fct GROUP BY 1, 2, 3"),
+    "source_health_by_day": _with("source_health", sql="SELECT * FROM source_health"),
     "split_spanning": _with("split", sql="SELECT cluster_id, count(DISTINCT row_split) AS splits FROM split GROUP BY 1 HAVING count(DISTINCT row_split) > 1"),
     "cluster_leak": _with("split", sql="SELECT cluster_id, count(DISTINCT row_split) AS splits FROM split GROUP BY 1 HAVING count(DISTINCT row_split) > 1"),
     "split_random": _with("fct", sql="SELECT article_key, CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'val' ELSE 'test' END AS split FROM (SELECT article_key, CAST('0x' || substr(sha256('42:' || cluster_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM fct)"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,16 @@ from tidemark.functions import python as P
 from tidemark.operators import articles as A
 from tidemark.operators import contracts as K
 from tidemark.operators import evaluation as E
-from tidemark.operators import checks, similar, splits
+from tidemark.operators import checks, linear, similar, splits
 from tidemark.operators.graph import components, written
 from tidemark.operators.models import Majority, TfIdfMargins
+from tidemark.operators.quantiles import exact_quantiles
+from tidemark.plans import daily
 from tidemark.plans.dag import build
 from tidemark.plans.oracle import ORACLE_SQL
+from tidemark.session import shared_dir
 from tidemark.sources import adapters
+from tidemark.sources.tables import Snapshots
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -143,15 +148,33 @@ def _majority(s, d):
 
 def _tfidf(s, d):
     rows = build(s, d, "fct_articles")["fct_articles"].where("published_at IS NOT NULL AND title <> ''").select("article_key", F.concat_ws(". ", "title", "summary").alias("text"), F.col("kanal").alias("label"))
-    rows = written(rows, "corpus")
+    rows = written(linear.spread(rows, rows.count()), "corpus")
     m = TfIdfMargins(min_df=2)
     m.fit(rows)
     return m.predict(rows).select("article_key", "label", "prediction", "confidence")
 
 
 def _latency(s, d):
-    p = adapters.read(s, d, "events").groupBy("event_type").agg(F.percentile("value", F.array(F.lit(0.5), F.lit(0.95))).alias("q"), F.avg("value").alias("mean"))
-    return p.select("event_type", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"), "mean")
+    e = adapters.read(s, d, "events")
+    q = exact_quantiles(e, ["event_type"], "value", [0.5, 0.95])
+    return q.join(e.groupBy("event_type").agg(F.avg("value").alias("mean")), "event_type").select("event_type", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"), "mean")
+
+
+def _feed_ages(s, d):
+    """Median and 95th percentile of the articles' age in hours by source, channel and label."""
+    fct = build(s, d, "fct_articles")["fct_articles"]
+    q = exact_quantiles(fct, ["source", "channel", "kanal"], "age_hours_at_fetch", [0.5, 0.95])
+    return q.select("source", "channel", "kanal", F.col("q")[0].alias("median_age_hours"), F.round(F.col("q")[1], 6).alias("p95_age_hours"))
+
+
+def _daily(s, d):
+    """Source health by day, kept up over two loads: all files but the last, then the last one."""
+    store, raw = Snapshots(s, f"{shared_dir(s)}/daily-{uuid.uuid4().hex}"), adapters.articles(s, d)
+    for part in ("_ingest_file < 'f7'", "_ingest_file >= 'f7'"):
+        with store.writer() as t:
+            t.append("articles", raw.where(part))
+        daily.refresh(store, adapters.taxonomy(s, d))
+    return store.read(daily.SOURCE_HEALTH)
 
 
 def _softmax(s, d):
@@ -198,6 +221,10 @@ QUERIES: dict[str, Query] = {
     "dup_components": _components,
     "split_temporal": lambda s, d: _split(s, d).select("article_key", "row_split", "split"),
     "split_composition": lambda s, d: splits.composition(_split(s, d), "source", "kanal"),
+    "split_compositions": lambda s, d: splits.compositions(_split(s, d), "source", "kanal"),
+    "split_exact": lambda s, d: splits.exact_random_split(_split(s, d)).select("article_key", "split"),
+    "feed_age_quantiles": _feed_ages,
+    "source_health_by_day": _daily,
     "split_spanning": lambda s, d: splits.spanning(_split(s, d)),
     "cluster_leak": lambda s, d: splits.cluster_leaks(_split(s, d).withColumn("split", F.col("row_split"))),  # a split by rows, which must be found out
     "check_keys": _on("fct_articles", checks.key_counts),

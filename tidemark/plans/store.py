@@ -21,6 +21,13 @@ def artifact_id(meta: dict) -> str:
     return hashlib.sha256(json.dumps(meta, sort_keys=True).encode()).hexdigest()[:16]
 
 
+def decision_summary(decision: dict) -> str:
+    """One line: when, what, the verdict and why."""
+    at = time.strftime("%Y-%m-%d %H:%M", time.gmtime(decision["at"]))
+    why = "; ".join(decision.get("reasons") or ())
+    return f"{at} {decision['verdict']:7} {decision['artifact']}{': ' + why if why else ''}"
+
+
 class Registry:
     def __init__(self, root: str):
         self.root = root

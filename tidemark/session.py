@@ -12,6 +12,14 @@ def session(app: str = "tidemark", master: str | None = None, **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where that is unset, as in tests, one in the warehouse."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
+    """The folder that all executors share: spark.checkpoint.dir, or where that is unset, as in tests, one in the warehouse.
+
+    On a cluster for which neither is set the warehouse would be a folder of the driver alone: that is an error.
+    """
+    conf = spark.sparkContext.getConf()
+    folder = conf.get("spark.checkpoint.dir")
+    if not folder:
+        if not conf.contains("spark.sql.warehouse.dir") and spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark"
     return folder.rstrip("/")

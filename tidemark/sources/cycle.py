@@ -8,7 +8,8 @@ from collections import Counter, defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources.landing import StateStore, existing_keys, fetch, land, parse_feed, parse_report
 
@@ -92,7 +93,7 @@ class CycleReport:
         return "\n".join(lines)
 
 
-def run_cycle(spark: SparkSession, feeds: list[Feed], root: str, state: str, delay: float = 1.0, unreachable: frozenset[str] = frozenset(), poll: Callable = fetch, sleep: Callable = time.sleep, now: Callable = time.time) -> CycleReport:
+def run_cycle(spark: SparkSession, feeds: list[Feed], root: str, state: str, delay: float = 1.0, unreachable: frozenset[str] = frozenset(), poll: Callable = fetch, sleep: Callable = time.sleep, now: Callable = time.time, lookback: int = 3) -> CycleReport:
     """Polls the feeds one after the other with a pause between them, lands the new records, and reports.
 
     Only bodies of responses pass through the driver, one for each feed.
@@ -116,21 +117,21 @@ def run_cycle(spark: SparkSession, feeds: list[Feed], root: str, state: str, del
         for r in rows.where("failure IS NOT NULL").select("failure", "feed_id").distinct().collect():
             reasons[r["failure"]].append(r["feed_id"])
         report.samples = {r["feed_id"]: list(r["samples"]) for r in parse_report(sent).where("failures > 0").collect()}
-        fresh = _fresh(spark, rows.where("failure IS NULL").drop("failure"), root, {(b[0], b[5][:10]) for b in bodies}).persist()
-        report.landed = {r["source"]: r["count"] for r in fresh.groupBy("source").count().collect()}
-        land(fresh, root)
-        fresh.unpersist()
+        fresh = _fresh(spark, rows.where("failure IS NULL").drop("failure"), root, {(b[0], b[5][:10]) for b in bodies}, lookback)
+        names, seen = sorted({f.source for f in feeds}), Observation()
+        land(fresh.observe(seen, *[F.count_if(F.col("source") == n).alias(f"n{k}") for k, n in enumerate(names)]), root)  # counted as they are written
+        report.landed = {n: seen.get[f"n{k}"] for k, n in enumerate(names) if seen.get[f"n{k}"]}
         rows.unpersist()
     report.failures = {k: sorted(v) for k, v in reasons.items()}
     return report
 
 
-def _fresh(spark: SparkSession, rows: DataFrame, root: str, parts: set[tuple[str, str]]) -> DataFrame:
+def _fresh(spark: SparkSession, rows: DataFrame, root: str, parts: set[tuple[str, str]], lookback: int) -> DataFrame:
     """Records whose key their source has not landed lately; one row of each."""
     rows = rows.dropDuplicates(["source", "article_key"])
     try:
         for source, day in sorted(parts):
-            rows = rows.join(existing_keys(spark, root, source, day), ["source", "article_key"], "left_anti").select(rows.columns)
+            rows = rows.join(existing_keys(spark, root, source, day, lookback), ["source", "article_key"], "left_anti").select(rows.columns)
     except Exception as e:  # nothing has landed yet
         if "PATH_NOT_FOUND" not in str(e):
             raise

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark.functions import columns as C
 from tidemark.functions.python import canonical_url, strip_html
 from tidemark.operators.articles import first_seen, new_rows
+from tidemark.sources.tables import Snapshots
 
 RECORD = "article_key string, canonical_url string, title_fingerprint string, title string, summary string, kanal string, source string, channel string, feed_id string, raw_link string, published_at string, fetched_at string, schema_version int, extra string"
 RETRIED = frozenset({408, 425, 429, 500, 502, 503, 504})
@@ -105,7 +106,7 @@ def entries(bodies: DataFrame) -> DataFrame:
     `extra` holds what else an item has as plain text, but for NOT_EXTRA and nested elements. An item without link or title gives a row with
     `failure` set and no key; so does, once, a body that is no XML and has no items. A sound body without items gives no row.
     """
-    read = lambda item, entry: F.from_xml("body", T._parse_datatype_string(_FEED.format(item=item, entry=entry)))
+    read = lambda item, entry: F.from_xml("body", T.StructType.fromDDL(_FEED.format(item=item, entry=entry)))
     rows = bodies.select("source", "channel", "kanal", "feed_id", "fetched_at", read(_ITEM, _ENTRY).alias("x"), read("map<string,string>", "map<string,string>").alias("m"))
     main = lambda links: F.filter(links, lambda x: (F.coalesce(x["_rel"], F.lit("alternate")) == "alternate") & x["_href"].isNotNull())
     item = lambda i: F.struct(i["title"].alias("title"), i["link"].alias("link"), i["description"].alias("summary"), i["pubDate"].alias("sent"))
@@ -120,7 +121,7 @@ def entries(bodies: DataFrame) -> DataFrame:
     rows = rows.select("source", "channel", "kanal", "feed_id", "fetched_at", "unread", F.coalesce("pos", F.lit(0)).alias("pos"), link.alias("raw_link"), F.col("i.sent").alias("sent"), C.clean_text(strip_html("i.title")).alias("title"), C.clean_text(strip_html("i.summary")).alias("summary"), canonical_url(link).alias("canonical_url"), F.to_json(F.coalesce(other, F.expr("map()"))).alias("extra"))
     rows = rows.withColumns({"failure": F.when(F.col("unread"), "no XML").when(F.col("canonical_url").isNull() | (F.col("raw_link") == ""), "no link").when(F.coalesce("title", F.lit("")) == "", "no title"), "published_at": F.date_format(parse_time(F.col("sent")), "yyyy-MM-dd'T'HH:mm:ssXXX")})
     rows = rows.withColumns({"article_key": F.when(F.col("failure").isNull(), C.article_key(F.col("canonical_url"))), "title_fingerprint": C.fingerprint(F.col("title")), "schema_version": F.lit(1)})
-    return rows.select(*(f.name for f in T._parse_datatype_string(RECORD).fields), "failure", "pos")
+    return rows.select(*(f.name for f in T.StructType.fromDDL(RECORD).fields), "failure", "pos")
 
 
 def parse_feed(bodies: DataFrame) -> DataFrame:
@@ -164,26 +165,24 @@ def typed(records: DataFrame) -> DataFrame:
     return records.where("article_key IS NOT NULL").withColumns({"published_at": at("published_at"), "fetched_at": at("fetched_at")})
 
 
-def load(spark: SparkSession, root: str, table: str, log: str, force: bool = False) -> dict:
-    """Adds the files that the log has not: keys that the table has not, the first of each; returns how many rows were read and added."""
+TABLE, LOG = "articles", "load_log"
+LOG_SHAPE = "file_path string, rows_read long, loaded_at timestamp"
 
-    def stored(path, schema):
-        try:
-            return spark.read.schema(schema).parquet(path)
-        except Exception as e:  # the table isn't there yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return spark.createDataFrame([], schema)
-
-    rows = landed(spark, root)
-    done = stored(log, "file_path string, rows_read long, loaded_at timestamp")
-    if not force:
-        rows = rows.join(done.select(F.col("file_path").alias("_ingest_file")).distinct(), "_ingest_file", "left_anti")
-    batch = typed(rows).drop("_corrupt_record")
-    files = rows.groupBy(F.col("_ingest_file").alias("file_path")).agg(F.count("*").alias("rows_read")).withColumn("loaded_at", F.current_timestamp())
-    read = files.agg(F.coalesce(F.sum("rows_read"), F.lit(0)), F.count("*")).first()
-    have = stored(table, batch.schema)
-    before = have.count()
-    new_rows(batch, have, "article_key", "_ingest_file").write.mode("append").parquet(table)
-    files.write.mode("append").parquet(log)
-    return {"files_loaded": read[1], "rows_read": read[0], "rows_added": stored(table, batch.schema).count() - before}
+
+def load(spark: SparkSession, root: str, store: Snapshots, force: bool = False) -> dict:
+    """Adds the files that the log has not (all, if forced): keys that the table has not, the first of each; returns how many files and rows were read and added.
+
+    Table and log change in one transaction, and the counts are taken while they are written. Files that are read again have their log rows renewed.
+    """
+    with store.writer() as t:
+        rows = landed(spark, root)
+        if not force:
+            rows = rows.join(t.read(LOG, LOG_SHAPE).select(F.col("file_path").alias("_ingest_file")).distinct(), "_ingest_file", "left_anti")
+        batch = typed(rows).drop("_corrupt_record")
+        files = rows.groupBy(F.col("_ingest_file").alias("file_path")).agg(F.count("*").alias("rows_read")).withColumn("loaded_at", F.current_timestamp())
+        seen = t.merge(LOG, files, "file_path", read=F.coalesce(F.sum("rows_read"), F.lit(0)))
+        if not seen["rows"]:
+            t.cancel()
+            return {"files_loaded": 0, "rows_read": 0, "rows_added": 0}
+        added = t.append(TABLE, new_rows(batch, t.read(TABLE, batch.schema), "article_key", "_ingest_file"))
+    return {"files_loaded": seen["rows"], "rows_read": seen["read"], "rows_added": added["rows"]}
