@@ -3,6 +3,9 @@
 A text is cut before single spaces between two characters that are no white space. No pre-token, merge, normalisation or special string
 crosses such a place in the two supported tokenizer layouts, so the ids of the pieces, one after the other, are those of the text.
 Each distinct piece is encoded once by a process, up to a bounded number of remembered pieces. Other layouts are encoded whole.
+
+Pieces of Latin-1 characters are cut into pre-tokens here; there the classes of letters, digits and white space are settled. Any piece with another
+character goes to the library itself, whose Unicode tables are older than Python's.
 """
 
 from __future__ import annotations
@@ -81,11 +84,11 @@ class Encoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         text = self.space + piece
-        if any(a in text for a in self.added):
+        if piece and max(piece) > "\xff" or any(a in text for a in self.added):
             found = self._library(text)
-        elif piece.isalpha() and max(piece) <= "\xff":
+        elif piece.isalpha():
             found = self._letters(piece)
-        elif piece[-1:] in _STOPS and piece[:-1].isalpha() and max(piece) <= "\xff":
+        elif piece[-1:] in _STOPS and piece[:-1].isalpha():
             found = (self.get(piece[:-1]) or self._letters(piece[:-1])) + self._part(piece[-1])
         else:
             if not self.space:
@@ -123,7 +126,7 @@ class Encoder(dict):
 
     def _head(self, piece: str) -> bytes:
         """The first piece has no space before it."""
-        if any(a in piece for a in self.added):
+        if piece and max(piece) > "\xff" or any(a in piece for a in self.added):
             return self._library(piece)
         return b"".join([self._part(p) for p in self.pattern.findall(piece)])
 
