@@ -88,3 +88,18 @@ def test_parts(spark):
     points = np.random.default_rng(0).standard_normal((4000, 6))
     assert np.bincount(Tree.fit(points, 4).leaf_of(points), minlength=16) == pytest.approx(np.full(16, 250), abs=8)
     assert search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_tree_and_stop_work_with_the_query_s_parameters(spark):
+    """Clustered vectors, as many as the smaller tables have: under half of all pairs are verified, recall stays."""
+    rng = np.random.default_rng(8)
+    centers = rng.standard_normal((25, 64))
+    rows = [(k, (centers[k % 25] + 0.4 * rng.standard_normal(64)).tolist()) for k in range(2000)]
+    got, share = searched(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    v = np.array([x for _, x in rows])
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(found[q] & set(np.argsort(-(v @ v[q]) + 1e9 * (np.arange(len(v)) == q))[:20])) for q in found)
+    r = share.first()
+    assert len(found) == 100 and hits >= 0.9 * 2000 and r.pairs == 200_000 and r.verified < 0.5 * r.pairs

@@ -2,10 +2,10 @@
 
 Method. Largest inner product becomes smallest Euclidean distance: queries are scaled to the largest norm M and rows get one more component,
 sqrt(M^2 - |x|^2). All are projected to `dims` stable directions (Gaussian, made orthogonal). A kd-tree over the projections, its cuts from a
-sample, deals every row to a leaf. A query first verifies the `probe` leaves whose boxes are nearest; its k-th best there is at distance d.
-An unseen row that is at most as far as d would, by the chi-square law of projected distances, lie within the projected radius r with
-probability `sure`. So the search stops at r: only leaves whose box comes nearer are visited, and of their rows only those projected nearer
-are verified by exact inner products.
+sample, deals every row to a leaf. In a leaf a query verifies rows by exact inner products, one step of the projected nearest after the other. While its
+k-th best so far is at distance d, an unseen row that is at most as far would, by the chi-square law of projected distances, lie within the projected radius r of
+d with probability `sure`: where the next projected row is farther than r, the search of the leaf stops. The `probe` leaves with the nearest boxes come first;
+with the k-th best of these, only leaves whose box comes within r are visited, and each verified row that is better draws r in.
 
 Scale. Equal vectors are one class, of which only the ids that can be among the k best of anything travel, so many copies of a vector make
 neither a large leaf nor many searches. The tree is fitted on at most `SAMPLE` rows and has at most 2^`MOST_DEPTH` leaves, whose boxes are all
@@ -35,7 +35,8 @@ K = 20
 DIMS = 32
 SURE = 0.8
 PROBE = 3
-LEAF_ROWS = 2048
+STEP = 64
+LEAF_ROWS = 1024
 MOST_DEPTH = 12
 SAMPLE = 20_000
 QUERY_ROWS = 1_000_000
@@ -192,24 +193,50 @@ def _routed(space: Space, reach: float, probe: int, spread: int, first: bool):
     return run
 
 
-def _searched(space: Space, k: int):
+def _searched(space: Space, k: int, reach: float):
     """Of rows sorted by cell, its vectors before its queries: what each query finds, and how many vectors it verified."""
     d, schema = space.d, pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("verified", pa.int64())])
+    reach = min(reach, 1e12)
+
+    def best_of(scores, sizes):
+        """Which of the verified rows can be among the k best ids, and the k-th best score, -inf where there are fewer ids."""
+        order = np.argsort(-scores, kind="stable")
+        upto = np.cumsum(sizes[order])
+        last = int(np.searchsorted(upto, k))
+        if last >= len(order):
+            return np.arange(len(scores)), -np.inf
+        kth = scores[order[last]]
+        return np.flatnonzero(scores >= kth), kth
+
+    def one(v, distance, near, square, floor, vectors, sizes):
+        """(rows, scores, number verified) of one query in a cell, projected neighbours in turn until the stopping test holds."""
+        at, scores, seen = np.empty(0, np.int64), np.empty(0), 0
+        if not len(near):
+            return at, scores, seen
+        order = near[np.argsort(distance[near], kind="stable")]
+        scale = space.most / np.sqrt(v @ v)
+        while seen < len(order) and distance[order[seen]] <= square:
+            step = order[seen : seen + STEP]
+            step = step[distance[step] <= square]
+            seen += len(step)
+            score = vectors[step] @ v
+            good = score >= floor
+            at, scores = np.concatenate([at, step[good]]), np.concatenate([scores, score[good]])
+            if len(at):
+                kept, kth = best_of(scores, sizes[at])
+                at, scores, floor = at[kept], scores[kept], max(floor, kth)
+                if kth > -np.inf:
+                    square = min(square, max(2 * space.most**2 - 2 * scale * kth, 0) * reach * (1 + 1e-5) + 1e-6)
+        return at, scores, seen
 
     def work(held, ids, v, low, square, floor):
         names, sizes, vectors, points, norms = held
         flat, edge = names
-        near = norms[None] + (low * low).sum(axis=1)[:, None] - 2 * (low @ points.T) <= square[:, None]
-        seen, out = 0, []
+        distance = norms[None] + (low * low).sum(axis=1)[:, None] - 2 * (low @ points.T)
+        total, out = 0, []
         for q in range(len(ids)):
-            at = np.flatnonzero(near[q])
-            seen += len(at)
-            score = vectors[at] @ v[q]
-            good = score >= floor[q]
-            at, score = at[good], score[good]
-            if len(at) > k:
-                good = score >= np.partition(score, len(score) - k)[len(score) - k]
-                at, score = at[good], score[good]
+            at, score, seen = one(v[q], distance[q], np.flatnonzero(distance[q] <= square[q]), square[q], floor[q], vectors, sizes)
+            total += seen
             if len(at):
                 own = np.concatenate([flat[edge[x] : edge[x + 1]] for x in at])
                 score = np.repeat(score, sizes[at])
@@ -217,7 +244,7 @@ def _searched(space: Space, k: int):
                 out.append((np.full(len(top), ids[q]), own[top], score[top]))
         cols = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)] if out else [pa.array([], f.type) for f in list(schema)[:3]]
         yield pa.RecordBatch.from_arrays([*cols, pa.array(np.zeros(len(cols[0]), np.int64))], schema=schema)
-        yield common.record_batch(schema, [(None, None, None, seen)])
+        yield common.record_batch(schema, [(None, None, None, total)])
 
     def closed(parts):
         ids = [x for part in parts for x in part[0]]
@@ -291,7 +318,7 @@ def _of_one_width(rows: DataFrame, d: int, most: float, every: int, k: int, dims
 
     def run(blocks: DataFrame, tag: str) -> DataFrame:
         met = data.union(blocks).repartition("key").sortWithinPartitions("key", "kind")
-        return common.materialize(met.mapInArrow(_searched(space, most_ids), _FOUND), tag)
+        return common.materialize(met.mapInArrow(_searched(space, most_ids, reach), _FOUND), tag)
 
     first = run(queries.select("query", "v").mapInArrow(_routed(space, reach, probe, spread, True), _ROWS), "first")
     start = common.materialize(_top(first, most_ids), "start")
