@@ -56,25 +56,40 @@ def bounded_batches(spark: SparkSession) -> Iterator[None]:
 FILTER_BITS = 1 << 24
 
 
-def _marked(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """df with _may: whether the key may be among the wanted ones, by a hashed set of FILTER_BITS bits; false: it is not.
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Like these names, but none that the frame has in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def _marked(df: DataFrame, key: str, wanted: DataFrame, may: str) -> DataFrame:
+    """df with the column `may`: whether the key may be among the wanted ones, by a hashed set of FILTER_BITS bits; false: it is not.
 
     What is broadcast is at most FILTER_BITS / 64 rows, however many are wanted; the more are, the more others are marked.
     """
-    bit = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS))
-    words = wanted.select(bit(wanted.columns[0]).alias("_bit")).select(F.shiftright("_bit", 6).alias("_word"), F.expr("shiftleft(1L, cast(_bit & 63 AS int))").alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
-    marked = df.withColumn("_bit", bit(key)).withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(words), "_word", "left")
-    return marked.select(*df.columns, F.expr("coalesce(shiftright(_bits, cast(_bit & 63 AS int)) & 1L, 0L) = 1").alias("_may"))
+    at = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS))
+    bit, word, bits = spare(df, "_bit", "_word", "_bits")
+    words = wanted.select(at(wanted.columns[0]).alias(bit)).select(F.shiftright(bit, 6).alias(word), F.expr(f"shiftleft(1L, cast({bit} & 63 AS int))").alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))
+    marked = df.withColumn(bit, at(key)).withColumn(word, F.shiftright(bit, 6)).join(F.broadcast(words), word, "left")
+    return marked.select(*df.columns, F.expr(f"coalesce(shiftright({bits}, cast({bit} & 63 AS int)) & 1L, 0L) = 1").alias(may))
 
 
 def among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """The rows of df whose key may be among the wanted ones (one column): all that are, and some others."""
-    return _marked(df, key, wanted).where("_may").drop("_may")
+    (may,) = spare(df, "_may")
+    return _marked(df, key, wanted, may).where(may).drop(may)
 
 
 def apart(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """The other rows: those whose key is surely not among the wanted ones."""
-    return _marked(df, key, wanted).where("NOT _may").drop("_may")
+    (may,) = spare(df, "_may")
+    return _marked(df, key, wanted, may).where(f"NOT {may}").drop(may)
 
 
 def without(df: DataFrame, key: str, gone: DataFrame) -> DataFrame:

@@ -235,12 +235,13 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs
     """
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
+    own, away = common.spare(docs, "_rid", "_gone")
     if odd:
-        rows = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_rid", F.monotonically_increasing_id()), "numbered")
+        rows = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(own, F.monotonically_increasing_id()), "numbered")
     else:
-        rows = docs.withColumn("_rid", F.col("doc_id"))
-    keys = rows.select(F.col("_rid").alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
-    marks = dropped_lines(keys, depth, least, min_docs, agree).select(F.col("rid").alias("_rid"), F.col("gone").alias("_gone"))
+        rows = docs.withColumn(own, F.col("doc_id"))
+    keys = rows.select(F.col(own).alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
+    marks = dropped_lines(keys, depth, least, min_docs, agree).select(F.col("rid").alias(own), F.col("gone").alias(away))
     at, sized = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def rewrite(batches):
@@ -252,4 +253,4 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs
                 cols[sized] = pa.array(list(map(len, kept)), pa.int64()).cast(cols[sized].type)
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
 
-    return _with_marks(rows.select(*docs.columns, "_rid"), "_rid", marks).drop("_rid").mapInArrow(rewrite, docs.schema)
+    return _with_marks(rows.select(*docs.columns, own), own, marks).drop(own).mapInArrow(rewrite, docs.schema)

@@ -166,6 +166,7 @@ def keep_first(docs: DataFrame, words: int = WORDS, similarity: float | None = N
         gone = common.materialize(grouped(docs).where("rid <> first").select("doc_id"), "gone")
         return common.without(docs, "doc_id", gone)
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
-    rows = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()), "rows")
-    kept = grouped(rows.select(F.col("_row").alias("doc_id"), "text")).where("rid = first").select(F.col("doc_id").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    (row,) = common.spare(docs, "_row")
+    rows = common.materialize(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id()), "rows")
+    kept = grouped(rows.select(F.col(row).alias("doc_id"), "text")).where("rid = first").select(F.col("doc_id").alias(row))
+    return rows.join(kept, row, "left_semi").select(docs.columns)
