@@ -47,7 +47,7 @@ def exact_random_split(rows: DataFrame, seed: int = 42, train: float = 0.7, val:
         raise ValueError("no clusters to split")
     a, b = int(n * train), int(n * train) + int(n * val)
     name = F.when(F.col("_rank") <= a, "train").when(F.col("_rank") <= b, "val").otherwise("test")
-    return rows.join(ranked.select("cluster_id", name.alias("split")), "cluster_id")
+    return rows.drop("split").join(ranked.select("cluster_id", name.alias("split")), "cluster_id")
 
 
 def spanning(split: DataFrame) -> DataFrame:

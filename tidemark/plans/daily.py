@@ -20,7 +20,7 @@ def _day() -> Column:
 def changed_days(raw: DataFrame, added: DataFrame) -> list[str]:
     """Days of fetching on which a fact changes by the added rows: their own, and those of all articles of the same stories, whose clusters grow."""
     stories = added.select("title_fingerprint").distinct()
-    days = raw.join(stories, "title_fingerprint", "left_semi").union(added.where("title_fingerprint IS NULL").select(raw.columns)).select(_day().alias("_day")).distinct()
+    days = raw.join(stories, "title_fingerprint", "left_semi").select("fetched_at").union(added.where("title_fingerprint IS NULL").select("fetched_at")).select(_day().alias("_day")).distinct()
     return sorted(r["_day"] for r in days.collect())  # a row a day
 
 
