@@ -95,3 +95,28 @@ def test_command_line(tmp_path, capsys):
     feeds.write_text(json.dumps([{"source": "a", "channel": "x", "kanal": "k", "url": "u"}]))
     assert main([*data, "status", "--feeds", str(feeds)]) == 0 and main([*data, "ingest", "--feeds", str(feeds), "--source", "zz"]) == 2
     assert "articles: 0" in capsys.readouterr().out
+
+
+def test_load_transform_status(spark, tmp_path, capsys):
+    from test_sources import frame, record
+
+    from tidemark.sources import landing
+
+    data = ["--data", str(tmp_path)]
+    feeds = tmp_path / "f.json"
+    feeds.write_text(json.dumps([{"source": "s", "channel": "c", "kanal": "k", "url": "u"}]))
+    landing.land(frame(spark, [record("1", raw_link="https://x/c/1"), record("2", title_fingerprint="g", fetched_at="2026-07-30T08:00:00+00:00")]), str(tmp_path / "raw"))
+    assert main([*data, "load"]) == 0 and main([*data, "load"]) == 0 and main([*data, "transform"]) == 0 and main([*data, "transform"]) == 0
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert [x.get("rows_added") for x in said[:2]] == [2, 0] and said[2] == {"days": ["2026-07-29", "2026-07-30"], "articles": 2} and said[3]["days"] == []
+    assert main([*data, "status", "--feeds", str(feeds)]) == 0
+    out = capsys.readouterr().out
+    assert "articles: 2" in out and "s: 1 feeds, 2 loaded, URLs tell the label of" in out
+    assert main([*data, "export"]) == 0 and json.loads((tmp_path / "export" / "README.md").exists() and capsys.readouterr().out.splitlines()[-1])["articles"] == 2
+
+
+def test_settings_from_the_environment(monkeypatch, tmp_path, capsys):
+    monkeypatch.setenv("TIDEMARK_DATA", str(tmp_path))
+    assert main(["champion"]) == 1 and main(["decisions", "--json"]) == 0
+    monkeypatch.setenv("TIDEMARK_RETRIES", "many")
+    assert main(["champion"]) == 2 and "retries" in capsys.readouterr().err

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.graph import running_total, written
+from tidemark.operators.graph import written
 
 
 def confusion(rows: DataFrame, pred: str = "y_pred", true: str = "y_true") -> DataFrame:
@@ -39,25 +40,52 @@ def checked(rows: DataFrame) -> DataFrame:
     return rows
 
 
+NEAR_ROWS = 200_000
+
+
+def _ends(run: DataFrame, target: int, total: int, last: float, most: int) -> list[float]:
+    """Last confidences of the bins, in order. run: c, upto (rows up to and with c); most: rows of the most frequent confidence.
+
+    A bin ends with the first confidence at which it holds `target` rows, so it is over by less than `most`, and bin k ends within k * most rows behind k * target. Only
+    confidences in these spans are fetched, all at once; where they could be more than NEAR_ROWS, each end is looked up on its own.
+    """
+    spans = [(k * target, k * (target + most)) for k in range(1, total // target + 1)]
+    ends, done = [], 0
+    if sum(high - low + 1 for low, high in spans) <= NEAR_ROWS:
+        near = F.lit(False)
+        for low, high in spans:
+            near = near | F.col("upto").between(low, high)
+        found = sorted((r["upto"], r["c"]) for r in run.where(near).select("c", "upto").collect())
+        look = lambda least: next(x for x in found[bisect_left(found, (least, -math.inf)) :])
+    else:
+        look = lambda least: tuple(run.where(F.col("upto") >= least).agg(F.min(F.struct("upto", "c")).alias("e")).first()["e"])
+    while done + target <= total:
+        done, c = look(done + target)
+        ends.append(c)
+    return ends if done == total else [*ends, last]
+
+
 def calibration_bins(rows: DataFrame, bins: int = 15, confidence: str = "confidence", correct: str = "correct") -> DataFrame:
     """Bins of equal mass, each extended over equal confidences: bin, lower, upper, n, accuracy, mean_confidence.
 
-    Rows are first counted by distinct confidence and their totals run over ranges; each bin's end is one aggregate, of about `bins` in all.
+    Rows are first counted by distinct confidence, in ranges of it. One row for each range comes together, then what lies near the ends of bins.
     """
     by = rows.groupBy(F.col(confidence).alias("c")).agg(F.count("*").alias("n"), F.sum(F.col(correct).cast("long")).alias("hits"))
-    stats = by.agg(F.sum("n"), F.min("c"), F.max("c")).first()
-    total = stats[0]
-    if not total:
+    by = written(by.repartitionByRange("c").withColumn("part", F.spark_partition_id()), "confidences")
+    parts = sorted(tuple(r) for r in by.groupBy("part").agg(F.sum("n"), F.min("c"), F.max("c"), F.max("n")).collect())  # a row a range
+    if not parts:
         raise ValueError("nothing to calibrate")
-    if stats[1] < 0 or stats[2] > 1:
+    if min(p[2] for p in parts) < 0 or max(p[3] for p in parts) > 1:
         raise ValueError("a confidence lies outside 0 to 1")
-    run, target, ends, done = written(running_total(by, ["c"], "n", "upto"), "totals"), max(1, total // bins), [], 0
-    while done < total:
-        end = run.where(F.col("upto") >= min(done + target, total)).agg(F.min(F.struct("c", "upto")).alias("e")).first()["e"]
-        ends.append((len(ends), end["c"]))
-        done = end["upto"]
+    total, base = 0, []
+    for p in parts:
+        base.append((p[0], total))
+        total += p[1]
     spark = rows.sparkSession
-    edges = spark.createDataFrame([(k, ends[k - 1][1] if k else -1.0, c) for k, c in ends], "bin long, after double, upto_c double")  # at most bins + 1 rows
+    within = Window.partitionBy("part").orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
+    run = by.join(F.broadcast(spark.createDataFrame(base, "part int, base long")), "part").select("c", (F.col("base") + F.sum("n").over(within)).alias("upto"))
+    ends = _ends(run, max(1, total // bins), total, max(p[3] for p in parts), max(p[4] for p in parts))
+    edges = spark.createDataFrame([(k, ends[k - 1] if k else -1.0, c) for k, c in enumerate(ends)], "bin long, after double, upto_c double")  # at most bins + 1 rows
     placed = by.join(F.broadcast(edges), (by["c"] > edges["after"]) & (by["c"] <= edges["upto_c"]))
     return placed.groupBy("bin").agg(F.min("c").alias("lower"), F.max("c").alias("upper"), F.sum("n").alias("n"), (F.sum("hits") / F.sum("n")).alias("accuracy"), (F.sum(F.col("c") * F.col("n")) / F.sum("n")).alias("mean_confidence"))
 

@@ -33,6 +33,7 @@ class TrainingRun:
     scores: dict[str, dict] = field(default_factory=dict)
     winner: str | None = None
     artifact: str | None = None
+    calibrated_on: str | None = None
     warnings: list[str] = field(default_factory=list)
 
     def to_dict(self) -> dict:
@@ -86,13 +87,19 @@ def choose_split(rows: DataFrame, random: bool = False, seed: int = 42) -> tuple
     return split, window, bool(k), ok, n
 
 
-def calibrate(model: TfIdfMargins, held: DataFrame) -> None:
-    """Sets the temperature from validation rows, at most CALIBRATION_ROWS of them, chosen by a hash of the key."""
-    few = held.orderBy(F.xxhash64("article_key")).limit(CALIBRATION_ROWS)
-    got = model.predict(few).where(F.col("label").isin(model.labels)).select("label", "probabilities").collect()
-    if got:
-        p = np.array([[r["probabilities"][v] for v in model.labels] for r in got])
-        model.temperature *= E.fit_temperature(np.log(np.maximum(p, 1e-300)), np.array([model.labels.index(r["label"]) for r in got]))
+def calibrate(model: TfIdfMargins, held: DataFrame, fitted_on: DataFrame) -> str:
+    """Sets the temperature from validation rows or, where there are none, from those of training; returns which.
+
+    At most CALIBRATION_ROWS are taken, chosen by a hash of the key. Under two rows of known labels leave the temperature as it is.
+    """
+    for name, rows in (("validation", held), ("train", fitted_on)):
+        few = rows.orderBy(F.xxhash64("article_key")).limit(CALIBRATION_ROWS)
+        got = model.predict(few).where(F.col("label").isin(model.labels)).select("label", "probabilities").collect()
+        if len(got) >= 2:
+            p = np.array([[r["probabilities"][v] for v in model.labels] for r in got])
+            model.temperature *= E.fit_temperature(np.log(np.maximum(p, 1e-300)), np.array([model.labels.index(r["label"]) for r in got]))
+            return name
+    return "none"
 
 
 def scored(model: Candidate, test: DataFrame) -> tuple[dict, DataFrame]:
@@ -120,7 +127,7 @@ def train_and_promote(fct: DataFrame, registry: Registry, random: bool = False,
     for model in candidates if candidates is not None else [Majority(), TfIdfMargins()]:
         model.fit(train)
         if isinstance(model, TfIdfMargins):
-            calibrate(model, val)
+            run.calibrated_on = calibrate(model, val, train)
         run.scores[model.name], got = scored(model, test)
         if best is None or run.scores[model.name]["macro_f1"] > run.scores[best[0].name]["macro_f1"]:
             best = model, got
