@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -21,11 +21,46 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+_scratch: list[dict[int, str]] = []
+
+
 def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     """Writes a frame once in the shared folder and reads it back: lineage ends here and survives lost executors."""
     path = fresh_path(df.sparkSession, tag)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _scratch:
+        _scratch[-1][id(out)] = path
+        _frames.append(out)  # held, so that no other frame gets its number
+    return out
+
+
+_frames: list[DataFrame] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that materialize writes inside are deleted behind it, but for those given to the function that it yields.
+
+    Whatever goes on to be used must rest on kept tables (or on none of these): nothing else could be computed anew.
+    """
+    noted: dict[int, str] = {}
+    first = len(_frames)
+    _scratch.append(noted)
+
+    def keep(df: DataFrame) -> DataFrame:
+        noted.pop(id(df))
+        return df
+
+    try:
+        yield keep
+    finally:
+        _scratch.pop()
+        del _frames[first:]
+        hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsparkSession.sessionState().newHadoopConf()
+        for path in noted.values():
+            at = hadoop.Path(path)
+            at.getFileSystem(conf).delete(at, True)
 
 
 BATCH_BYTES = 8 << 20

@@ -31,6 +31,7 @@ WIDTH = 20
 GRAM = 4
 GROUP_LIMIT = 2000
 BATCHES = 2
+FANOUT = 2
 _ROWS = "h long, c long, rid long, pos long, n long"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<long>"
 
@@ -173,7 +174,7 @@ def _apply(width: int):
 class FingerprintLog:
     """The index: a list of (level, rows, frame) runs, oldest first. `texts` must hold every document ever ingested (rid, text)."""
 
-    def __init__(self, width: int = WIDTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT, fanout: int = 4):
+    def __init__(self, width: int = WIDTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT, fanout: int = FANOUT):
         if not 1 <= gram <= width <= gram + 255:
             raise ValueError("need 1 <= gram <= width <= gram + 255")
         self.width, self.gram, self.group_limit, self.fanout = width, gram, group_limit, fanout
@@ -195,7 +196,21 @@ class FingerprintLog:
             self.runs[-self.fanout :] = [(level + 1, common.materialize(first.repartitionByRange("h", "c").sortWithinPartitions("h", "c"), "compacted"))]
 
     def ingest(self, batch: DataFrame, texts: DataFrame) -> DataFrame:
-        """batch: rid, doc_id, text, with no rid before an ingested one. Returns one row per document of the batch."""
+        """batch: rid, doc_id, text, with no rid before an ingested one. Returns one row per document of the batch.
+
+        Of the tables written on the way only the batch's run and its marks stay.
+        """
+        with common.scratch(batch.sparkSession) as keep:
+            fresh, marks = self._marks(batch, texts)
+            self.runs.append((0, keep(fresh)))
+            keep(marks)
+        self.compact()
+        clear = common.apart(batch, "rid", marks.select("rid")).withColumn("marks", F.lit(None).cast(marks.schema["marks"].dataType))
+        hit = common.among(batch, "rid", marks.select("rid")).join(marks.hint("merge"), "rid", "left")
+        return clear.unionByName(hit).select("doc_id", "text", "marks").mapInArrow(_apply(self.width), _RESULT)
+
+    def _marks(self, batch: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The batch's run without what the log had already, and by rid the runs of windows that go; both written."""
         made = common.materialize(batch.where(F.octet_length("text") >= 2 * self.width - 1).mapInArrow(_phrases(self.width, self.gram), _ROWS), "phrases")
         rows = made.where("h IS NOT NULL").drop("n")
         firsts = rows.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("at")).select("h", "c", "n", "at.rid", "at.pos")
@@ -205,8 +220,8 @@ class FingerprintLog:
             firsts = firsts.join(old.select("h", "c", F.lit(True).alias("known")), ["h", "c"], "left")
         else:
             firsts = firsts.withColumn("known", F.lit(None).cast("boolean"))
-        firsts = common.materialize(firsts.sortWithinPartitions("h", "c"), "run")  # dealt by (h, c) already
-        fresh = firsts.where("known IS NULL").select("h", "c", "rid", "pos")
+        firsts = common.materialize(firsts.sortWithinPartitions("h", "c"), "firsts")  # dealt by (h, c) already
+        fresh = common.materialize(firsts.where("known IS NULL").select("h", "c", "rid", "pos"), "run")
         place = lambda c: F.when(F.col("known").isNull(), F.col(c))
         seen = firsts.where("n > 1 OR known").select("h", "c", place("rid").alias("rid0"), place("pos").alias("pos0"))
         mixed = fresh.groupBy("h").agg(F.count("*").alias("m"))
@@ -217,8 +232,8 @@ class FingerprintLog:
         if old is not None:
             compared = compared.union(old.join(mixed, "h").withColumn("new", F.lit(False)))
         compared = common.materialize(compared, "compared")
-        asked = compared.groupBy("rid").agg(F.collect_list(F.struct("h", "c", "pos", "m")).alias("asked"))
-        bodies = texts.select("rid", "text").join(asked, "rid").mapInArrow(_bodies(self.width), "h long, c long, rid long, pos long, m long, body binary")
+        asked = common.materialize(compared.groupBy("rid").agg(F.collect_list(F.struct("h", "c", "pos", "m")).alias("asked")), "asked")
+        bodies = common.among(texts.select("rid", "text"), "rid", asked.select("rid")).join(asked.hint("merge"), "rid").mapInArrow(_bodies(self.width), "h long, c long, rid long, pos long, m long, body binary")
         bodies = common.materialize(bodies, "bodies")
         fit = bodies.where(F.col("m") <= self.group_limit).drop("m").repartition("h").sortWithinPartitions("h").mapInArrow(_inside(self.width), "h long, c long, hits binary")
         late = _oversized(bodies.where(F.col("m") > self.group_limit).drop("m"), self.width, self.gram)
@@ -226,12 +241,10 @@ class FingerprintLog:
         everything = F.lit(None).cast("binary").alias("hits")
         later = rows.join(seen, ["h", "c"]).where("rid0 IS NULL OR rid <> rid0 OR pos <> pos0").select("rid", "pos", everything)
         marks = inside.union(later).union(made.where("h IS NULL").select("rid", "pos", everything)).groupBy("rid").agg(F.collect_list(F.struct("pos", "hits")).alias("marks"))
-        self.runs.append((0, fresh))  # the written run without what the log had already
-        self.compact()
-        return batch.join(marks, "rid", "left").select("doc_id", "text", "marks").mapInArrow(_apply(self.width), _RESULT)
+        return fresh, common.materialize(marks, "marks")
 
 
-def repeated_words(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT, batches: int = BATCHES, fanout: int = 4) -> DataFrame:
+def repeated_words(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """Feeds whole documents to a new index in `batches` parts of ascending ids; one row per document."""
     keys = common.keyed(docs)
     log, out, low = FingerprintLog(width, gram, group_limit, fanout), None, None
