@@ -61,7 +61,8 @@ def silent_sources(health: DataFrame, expected: Sequence[str]) -> DataFrame:
 
 
 def abandoned_feeds(feeds: DataFrame) -> DataFrame:
-    return feeds.where("looks_abandoned").select("feed_id", "kanal", "articles", F.round(F.col("freshest_age_hours") / F.lit(24.0), 1).alias("freshest_age_days"), "newest_published")
+    """The longest abandoned first."""
+    return feeds.where("looks_abandoned").orderBy(F.col("freshest_age_hours").desc_nulls_last(), "feed_id").select("feed_id", "kanal", "articles", F.round(F.col("freshest_age_hours") / F.lit(24.0), 1).alias("freshest_age_days"), "newest_published")
 
 
 def clean_control(fct: DataFrame, source: str, most: float = 0.25) -> DataFrame:
