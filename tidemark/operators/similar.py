@@ -1,89 +1,242 @@
-"""MinHash clusters of near-duplicate titles: banding as a filter, exact similarity as the decision."""
+"""MinHash clusters of near-duplicate titles: banding as a filter, exact similarity as the decision.
+
+Titles travel to their buckets as texts, once for each bucket with company; there pairs are cut by the sizes of their sets and by sketches
+(a bit for each place where a gram falls), both without loss, and the sets of the rest decide. A bucket of any size is compared whole: one of
+over BLOCK titles is dealt into blocks, and each pair of blocks is a group of its own, so no task holds more than two blocks at a time.
+Titles that a group has linked already are not compared again in it, so a large group of near copies makes no square.
+"""
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import fold, jaccard, shingles
-from tidemark.functions.python import minhash_signature
+from tidemark.functions.columns import fold
+from tidemark.functions.python import char_grams, text_signature
 from tidemark.operators.graph import components, written
 
 BANDS, ROWS, THRESHOLD, BUCKET = 32, 4, 0.5, (2, 50)
+BLOCK = 8192
+SKETCH_BITS = 4  # places for each gram, at least
+_NARROWEST = 8
+_CHUNK = 1 << 15  # words of sketches that are compared at a time
+_SLACK = 1e-9  # bounds are loosened by this, the decision is not
 
 
 def distinct_titles(rows: DataFrame) -> DataFrame:
-    """Equal folded titles once, under their smallest key: copies meet by grouping, not in pairs."""
-    return rows.select("key", fold(F.col("title")).alias("folded")).groupBy("folded").agg(F.min("key").alias("key")).withColumn("grams", shingles(F.col("folded")))
+    """Equal folded titles once, under their smallest key: copies meet by grouping, not in pairs. A null title is a blank one."""
+    return rows.select("key", _folded()).groupBy("folded").agg(F.min("key").alias("key"))
+
+
+def _folded():
+    return fold(F.coalesce("title", F.lit(""))).alias("folded")
 
 
-def banded(titles: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def _chunks(signed: DataFrame, bands: int, rows: int) -> DataFrame:
     """key, band, chunk: each title under the hash of each of its bands."""
-    signed = written(titles.select("key", minhash_signature("grams").alias("sig")), "signatures")
     chunks = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("sig", b * rows + 1, rows)).alias("chunk")) for b in range(bands)])
-    return written(signed.select("key", F.explode(chunks).alias("x")).select("key", "x.*"), "bands")
+    return signed.select("key", F.explode(chunks).alias("x")).select("key", "x.*")
 
 
-def candidate_pairs(titles: DataFrame, bands: int = BANDS, rows: int = ROWS, bucket: tuple[int, int] = BUCKET) -> DataFrame:
-    """Pairs (a, b), a < b, of titles that share all rows of a band, in buckets of 2 to `bucket[1]` distinct titles; see `crowded` for larger ones."""
-    placed = banded(titles, bands, rows)
-    return _pairs(placed, _sizes(placed).where(F.col("n").between(*bucket)))
-
+def _signed(titles: DataFrame) -> DataFrame:
+    return written(titles.withColumn("_x", text_signature("folded")).select(*titles.columns, "_x.*"), "signatures")
 
-def _sizes(placed: DataFrame) -> DataFrame:
-    return placed.groupBy("band", "chunk").agg(F.count("*").alias("n"), F.min("key").alias("least"))
 
-
-def _pairs(placed: DataFrame, buckets: DataFrame) -> DataFrame:
-    met = placed.join(buckets.select("band", "chunk"), ["band", "chunk"])
+def candidate_pairs(titles: DataFrame, bands: int = BANDS, rows: int = ROWS, bucket: tuple[int, int] = BUCKET) -> DataFrame:
+    """Pairs (a, b), a < b, of titles that share all rows of a band, in buckets of 2 to `bucket[1]` distinct titles."""
+    placed = written(_chunks(_signed(titles), bands, rows), "bands")
+    met = placed.join(_sizes(placed).where(F.col("size").between(*bucket)), ["band", "chunk"])
     left, right = met.select("band", "chunk", F.col("key").alias("a")), met.select("band", "chunk", F.col("key").alias("b"))
     return left.join(right, ["band", "chunk"]).where("a < b").select("a", "b").distinct()
 
 
-def crowded(titles: DataFrame, placed: DataFrame, buckets: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) of large buckets whose components, with the links at hand, are those of all their similar pairs.
-
-    Each title of a bucket meets its smallest first. Only titles that then lie in another component than the smallest meet the others of the
-    bucket, and only across components, so a large group of similar titles makes no square.
-    """
-    crowd = placed.join(buckets.select("band", "chunk", "least"), ["band", "chunk"])
-    stars = confirmed(titles, crowd.where("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct(), threshold)
-    links = written(links.union(stars.select("a", "b")), "links")
-    of = components(links)
-    named = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_class"))
-    crowd = crowd.join(named("key"), "key", "left").join(named("least"), "least", "left")
-    crowd = crowd.select("band", "chunk", "key", F.coalesce("key_class", "key").alias("class"), (F.coalesce("key_class", "key") != F.coalesce("least_class", "least")).alias("apart"))
-    crowd = written(crowd, "crowd")
-    x, y = crowd.where("apart").alias("x"), crowd.alias("y")
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.chunk") == F.col("y.chunk")) & (F.col("x.class") != F.col("y.class")))
-    pairs = rest.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-    return links.union(confirmed(titles, pairs, threshold).select("a", "b"))
-
-
-def confirmed(titles: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    grams = titles.select("key", "grams")
-    j = pairs.join(grams.withColumnsRenamed({"key": "a", "grams": "ga"}), "a").join(grams.withColumnsRenamed({"key": "b", "grams": "gb"}), "b")
-    return j.withColumn("similarity", jaccard(F.col("ga"), F.col("gb"))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
+def _sizes(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("band", "chunk").agg(F.count("*").alias("size"))
+
+
+def _places(texts: list[str]) -> list[np.ndarray]:
+    """For each text a hash of each gram, repeats included; a shorter text is one, padded by zeros, which no folded text holds."""
+    out = []
+    for t in texts:
+        c = np.frombuffer(t.ljust(4, "\0").encode("utf-32-le") if t else b"", np.uint32).astype(np.uint64)
+        h = np.zeros(max(0, len(c) - 3), np.uint64)
+        for k in range(4):
+            h = (h + c[k : len(c) - 3 + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        out.append((h >> np.uint64(20)).astype(np.int64))
+    return out
+
+
+def _class(n: np.ndarray) -> np.ndarray:
+    """The power of two of a sketch's number of places."""
+    return np.maximum(_NARROWEST, np.ceil(np.log2(np.maximum(n, 1) * SKETCH_BITS))).astype(np.int64)
+
+
+def _sketches(texts: list[str], power: int) -> np.ndarray:
+    out = np.empty((len(texts), 1 << power - 6), np.uint64)
+    step = max(1, (1 << 23) >> power)
+    for at in range(0, len(texts), step):
+        some = _places(texts[at : at + step])
+        bits = np.zeros((len(some), 1 << power), np.uint8)
+        bits.ravel()[np.concatenate(some) % (1 << power) + np.repeat(np.arange(len(some)) << power, [len(h) for h in some])] = 1
+        out[at : at + step] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    return out
+
+
+class Side:
+    """Rows of one block, by the number of their grams, with sketches by class, folded to narrower ones where asked for."""
+
+    def __init__(self, at: np.ndarray, n: np.ndarray, texts: list[str]):
+        order = np.argsort(n, kind="stable")
+        self.at, self.n = at[order], n[order]
+        self.texts = [texts[k] for k in order]
+        self.power = _class(self.n)
+        self.made: dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]] = {}
+
+    def sketches(self, power: int, narrow: int) -> tuple[int, np.ndarray, np.ndarray]:
+        """Of the rows of a class: place of the first, sketches of `narrow`, and by how much the grams are more than the set places."""
+        if (power, narrow) not in self.made:
+            lo, hi = np.searchsorted(self.power, [power, power + 1])
+            if power == narrow:
+                m = _sketches(self.texts[lo:hi], power)
+            else:
+                m = self.sketches(power, narrow + 1)[1]
+                m = m[:, : m.shape[1] // 2] | m[:, m.shape[1] // 2 :]
+            self.made[power, narrow] = int(lo), m, self.n[lo:hi] - np.bitwise_count(m).sum(axis=1, dtype=np.int64)
+        return self.made[power, narrow]
+
+
+def _possible(left: Side, i: int, right: Side, lo: int, hi: int, label: np.ndarray, threshold: float):
+    """Places in `right`, from lo to hi, of rows in other classes whose sketches allow the similarity with row i of `left`."""
+    n, power = left.n[i], int(left.power[i])
+    start, own, excess = left.sketches(power, power)
+    own, excess = own[i - start], excess[i - start]
+    while lo < hi:
+        first, m, more = right.sketches(int(right.power[lo]), power)
+        end = min(hi, first + len(m))
+        at = lo + np.flatnonzero(label[right.at[lo:end]] != label[left.at[i]])
+        step = max(1, _CHUNK // m.shape[1])
+        for k in range(0, len(at), step):
+            some = at[k : k + step]
+            rows = m[some[0] - first : some[-1] - first + 1] if some[-1] - some[0] + 1 == len(some) else m[some - first]
+            both = np.bitwise_count(rows & own).sum(axis=1, dtype=np.int32) + np.minimum(excess, more[some - first])
+            yield from some[both * (1 + threshold) >= threshold * (n + right.n[some]) - _SLACK].tolist()
+        lo = end
+
+
+def similar_pairs(sides: list[Side], rows: int, threshold: float, every: bool):
+    """Similar pairs of rows of one side, or across two: all, or as many as link the rows that all of them link."""
+    label, sets = np.arange(rows), {}
+
+    def grams(side, k):
+        at = side.at[k]
+        if at not in sets:
+            sets[at] = char_grams(side.texts[k])
+        return sets[at]
+
+    for turn, left in enumerate(sides):
+        right = sides[-1 - turn]
+        for i, n in enumerate(left.n):
+            lo = i + 1 if right is left else int(np.searchsorted(right.n, n, "right" if turn else "left"))
+            hi = int(np.searchsorted(right.n, n / threshold + _SLACK, "right"))
+            a = left.at[i]
+            for j in _possible(left, i, right, lo, hi, label, threshold):
+                b = right.at[j]
+                if label[a] == label[b]:
+                    continue
+                x, y = grams(left, i), grams(right, j)
+                both = len(x & y)
+                if both / (len(x) + len(y) - both) >= threshold:
+                    yield a, b
+                    if not every:
+                        label[label == label[b]] = label[a]
+
+
+_BUCKET = ("band", "chunk", "x", "y")
+
+
+def _groups(batches):
+    """Whole groups of rows sorted by _BUCKET."""
+    held = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        cut, cols = np.zeros(len(batch), bool), [batch.column(c).to_numpy() for c in _BUCKET]
+        for v in cols:
+            cut[1:] |= v[1:] != v[:-1]
+        cut[0] = bool(held) and any(held[-1].column(c)[len(held[-1]) - 1].as_py() != v[0] for c, v in zip(_BUCKET, cols, strict=True))
+        at = 0
+        for k in [*np.flatnonzero(cut).tolist(), len(batch)]:
+            if cut[at] and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            if k > at:
+                held.append(batch.slice(at, k - at))
+            at = min(k, len(batch) - 1)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _compare(threshold: float, limit: int, every: bool):
+    """Pairs of groups: links, and for buckets within the limit, where every is set, all pairs with whether they are similar."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("within", pa.bool_()), ("similar", pa.bool_())])
+
+    def batch(a, b, within, similar):
+        a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(a), within)), pa.array(similar)], schema=schema)
+
+    def run(batches):
+        for group in _groups(batches):
+            key, n, block = (group.column(c).to_numpy() for c in ("key", "n", "block"))
+            texts, within = group.column("folded").to_pylist(), every and group.column("size")[0].as_py() <= limit
+            sides = [np.flatnonzero(block == v) for v in np.unique(block)]
+            if group.column("x")[0].as_py() != group.column("y")[0].as_py() and len(sides) < 2:
+                continue
+            sides = [Side(at, n[at], [texts[k] for k in at]) for at in sides]
+            found = [*similar_pairs(sides, len(key), threshold, within)]
+            if within:
+                a, b = np.triu_indices(len(key), 1)
+                similar = np.zeros((len(key), len(key)), bool)
+                for x, y in found:
+                    similar[x, y] = similar[y, x] = True
+                yield batch(key[a], key[b], True, similar[a, b])
+            elif found:
+                yield batch(key[[x for x, _ in found]], key[[y for _, y in found]], False, np.ones(len(found), bool))
+
+    return run
+
+
+def compared(signed: DataFrame, threshold: float, bucket: tuple[int, int], large: bool, every: bool) -> DataFrame:
+    """a, b, within, similar from titles (key as a number, folded, sig, n); see _compare."""
+    placed = written(_chunks(signed, BANDS, ROWS), "bands")
+    sizes = _sizes(placed).where(F.col("size") >= bucket[0] if large else F.col("size").between(*bucket))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    met = placed.join(sizes, ["band", "chunk"]).withColumns({"block": F.pmod(F.xxhash64("key"), blocks).cast("int"), "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    met = met.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other")
+    met = met.join(signed.select("key", "folded", "n"), "key").repartition(*_BUCKET).sortWithinPartitions(*_BUCKET)
+    return written(met.mapInArrow(_compare(threshold, bucket[1], every), "a long, b long, within boolean, similar boolean"), "compared")
 
 
 def cluster(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, int] = BUCKET, large: bool = True) -> DataFrame:
     """(key, cluster_id) for rows (key, title): the id is the smallest key of the cluster. large: whether buckets over the limit count, too."""
-    return clustered(rows, threshold, bucket, large)[0]
+    return clustered(rows, threshold, bucket, large, every=False)[0]
 
 
-def clustered(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, int] = BUCKET, large: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The clusters, the candidate pairs of buckets within the limit, and those of them that are similar."""
-    titles = written(distinct_titles(rows), "titles")
-    placed = banded(titles)
-    sizes = written(_sizes(placed).where(F.col("n") >= bucket[0]), "buckets")
-    candidates = written(_pairs(placed, sizes.where(F.col("n") <= bucket[1])), "candidates")
-    good = written(confirmed(titles, candidates, threshold), "confirmed")
-    links, over = good.select("a", "b"), sizes.where(F.col("n") > bucket[1])
-    if large and over.limit(1).count():
-        links = crowded(titles, placed, over, links, threshold)
-    found = components(links)
-    of = titles.join(found, titles["key"] == found["node"], "left").select("folded", F.coalesce("component", "key").alias("cluster_id"))
-    return rows.select("key", fold(F.col("title")).alias("folded")).join(of, "folded").select("key", "cluster_id"), candidates, good
+def clustered(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, int] = BUCKET, large: bool = True, every: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The clusters, and where every is set the candidate pairs of buckets within the limit (a, b, similar) by numbers of titles."""
+    titles = written(distinct_titles(rows), "titles").withColumn("id", F.monotonically_increasing_id())
+    titles = written(titles, "numbered")
+    pairs = compared(_signed(titles.select(F.col("id").alias("key"), "folded")), threshold, bucket, large, every)
+    found = components(pairs.where("similar").select("a", "b"))
+    of = written(titles.join(found, titles["id"] == found["node"], "left").select("folded", "key", F.coalesce("component", "id").alias("class")), "classes")
+    least = of.groupBy("class").agg(F.min("key").alias("cluster_id"))
+    of = of.join(least, "class").select("folded", "cluster_id")
+    candidates = pairs.where("within").select("a", "b", "similar").distinct()
+    return rows.select("key", _folded()).join(of, "folded").select("key", "cluster_id"), candidates
 
 
 def report(clusters: DataFrame) -> DataFrame:
@@ -93,9 +246,9 @@ def report(clusters: DataFrame) -> DataFrame:
 
 def cluster_report(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row: candidate_pairs, confirmed_pairs, clusters and rows_in_a_cluster (of two rows and more), largest, false_candidate_rate."""
-    found, candidates, good = clustered(rows, threshold)
+    found, candidates = clustered(rows, threshold)
     sizes = found.groupBy("cluster_id").agg(F.count("*").alias("size")).where("size > 1")
     sizes = sizes.agg(F.count("*").alias("clusters"), F.coalesce(F.sum("size"), F.lit(0)).alias("rows_in_a_cluster"), F.coalesce(F.max("size"), F.lit(0)).alias("largest"))
-    pairs = candidates.agg(F.count("*").alias("candidate_pairs")).join(good.agg(F.count("*").alias("confirmed_pairs")))
+    pairs = candidates.agg(F.count("*").alias("candidate_pairs"), F.count_if("similar").alias("confirmed_pairs"))
     rate = F.when(F.col("candidate_pairs") > 0, 1 - F.col("confirmed_pairs") / F.col("candidate_pairs")).otherwise(F.lit(0.0))
     return pairs.join(sizes).withColumn("false_candidate_rate", rate)
