@@ -32,6 +32,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of texts with a 5-word Jaccard similarity of 0.8 or more the document with the smallest id stays.
 
+    SimHash fingerprints within 2 bits (operator 8's pigeonring) give the candidates, whose shingles are compared; pairs that 2 bits miss are added by an exact join.
     Null text counts as empty, and all texts without words are alike; of equal or null ids any one stays, null ids giving way to others. Repeated rows are copies of one
     another. An empty table stays empty, very long texts are compared whole, and other columns pass through whatever their names.
     """

@@ -18,6 +18,7 @@ as in operator 8; an empty table gives none.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -197,15 +198,22 @@ def verified(pairs: DataFrame, keys: DataFrame, sketches: DataFrame, words: int,
     return common.materialize(both.where(F.col("both") / (F.col("n") - F.col("both")) >= similarity).select("a", "b"), "similar")
 
 
-def links(keys: DataFrame, sketches: DataFrame, words: int, similarity: float, group_limit: int) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of texts (rid, text, distinct sets) that are similar enough."""
+def links(keys: DataFrame, sketches: DataFrame, words: int, similarity: float, group_limit: int, known: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of texts (rid, text, distinct sets) that are similar enough.
+
+    known: similar pairs (a, b) found before; candidates that they connect already are not compared.
+    """
     sample = keys.where(F.pmod(F.xxhash64("rid"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(_all(words), "s long")
     often = sample.groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "s").limit(MOST_OFTEN).select("s").collect()
     often = np.array(sorted(r.s for r in often), np.int64)
     places = keys.select("rid", "text").mapInArrow(_prefixes(words, similarity, often), _PLACES)
     met = places.repartition("s").sortWithinPartitions("s", "rid").mapInArrow(_meet(group_limit, similarity), "s long, a long, b long, n int, i int, possible boolean")
     met = common.materialize(met, "met")
-    found = verified(met.where("possible AND a <> b").select("a", "b"), keys, sketches, words, similarity)
+    pairs = met.where("possible AND a <> b").select("a", "b")
+    if known is not None:
+        pairs = _unconnected(pairs, known)
+    found = verified(pairs, keys, sketches, words, similarity)
+    found = found if known is None else found.union(known)
     crowd = met.where("s IS NOT NULL")
     if crowd.limit(1).count() == 0:
         return found
@@ -219,14 +227,26 @@ def links(keys: DataFrame, sketches: DataFrame, words: int, similarity: float, g
     return found.union(verified(rest, keys, sketches, words, similarity))
 
 
-def clusters(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """rid, doc_id, first (smallest rid of the component)."""
+def _unconnected(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) that lie in different components of the known ones."""
+    of = common.components(known)
+    near = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_class"))
+    return pairs.distinct().join(near("a"), "a", "left").join(near("b"), "b", "left").where(F.coalesce("a_class", "a") != F.coalesce("b_class", "b")).select("a", "b")
+
+
+def clusters(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, group_limit: int = GROUP_LIMIT, candidates: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """rid, doc_id, first (smallest rid of the component).
+
+    candidates gives pairs (a, b) of rids from distinct texts (rid, doc_id, text) that another method holds for near copies: they are compared
+    first, and the exact join is left with the pairs that they don't connect.
+    """
     common.small_batches(docs.sparkSession)
     keys = common.keyed(docs)
     marked = common.materialize(keys.select("rid", "doc_id", "text").mapInArrow(_digests(words), "rid long, doc_id long, digest binary, n int, sketch binary"), "digests")
     distinct = common.materialize(marked.groupBy("digest").agg(F.min("rid").alias("first")), "distinct")
     again = common.materialize(marked.join(distinct, "digest").where("rid <> first").select("rid"), "again")
     own = common.without(keys, "rid", again)
-    found = common.components(links(own, marked, words, similarity, group_limit))
+    known = None if candidates is None else verified(candidates(own), own, marked, words, similarity)
+    found = common.components(links(own, marked, words, similarity, group_limit, known))
     of = distinct.join(found, distinct["first"] == found["node"], "left").select("digest", F.coalesce("component", "first").alias("first"))
     return marked.join(of, "digest").select("rid", "doc_id", "first")

@@ -42,6 +42,10 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """rid, doc_id, fp (the fingerprint as a signed long)."""
+    return _fingerprinted(common.keyed(docs), words)
+
+
+def _fingerprinted(keys: DataFrame, words: int) -> DataFrame:
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
@@ -49,7 +53,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
             fp = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), pa.array(fp)], schema=schema)
 
-    return common.keyed(docs).mapInArrow(run, "rid long, doc_id long, fp long")
+    return keys.mapInArrow(run, "rid long, doc_id long, fp long")
 
 
 def _rotated(x: np.ndarray, by: int) -> np.ndarray:
@@ -155,12 +159,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def candidates(keys: DataFrame, words: int = WORDS) -> DataFrame:
+    """Pairs (a, b) of rids whose components are those of the fingerprints of texts (rid, doc_id, text) within 2 bits."""
+    marked = common.materialize(_fingerprinted(keys, words).select("rid", "fp"), "fingerprints")
+    least = common.materialize(marked.groupBy("fp").agg(F.min("rid").alias("least")), "distinct")
+    same = marked.join(least, "fp").where("rid <> least").select(F.col("least").alias("a"), F.col("rid").alias("b"))
+    end = lambda c: least.select(F.col("fp").alias(f"{c}_fp"), F.col("least").alias(c))
+    near = linked(least).select(F.col("a").alias("a_fp"), F.col("b").alias("b_fp")).join(end("a"), "a_fp").join(end("b"), "b_fp")
+    return same.union(near.select(F.least("a", "b"), F.greatest("a", "b")))
+
+
 def keep_first(docs: DataFrame, words: int = WORDS, similarity: float | None = None) -> DataFrame:
     """The rows of docs, all columns as they are, but of each component only the one with the smallest id (of equal or null ids, any one).
 
-    Components are those of fingerprints within 2 bits or, with a similarity, of texts whose shingles have that Jaccard similarity at least.
+    Components are those of fingerprints within 2 bits. With a similarity, pairs with such fingerprints are candidates whose shingles must have
+    that Jaccard similarity at least, and an exact join adds the pairs that 2 bits miss.
     """
-    grouped = (lambda d: clusters(d, words)) if similarity is None else (lambda d: near_copies.clusters(d, words, similarity))
+    grouped = (lambda d: clusters(d, words)) if similarity is None else (lambda d: near_copies.clusters(d, words, similarity, candidates=lambda own: candidates(own, words)))
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
     if not odd:
         gone = common.materialize(grouped(docs).where("rid <> first").select("doc_id"), "gone")
