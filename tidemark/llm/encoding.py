@@ -20,6 +20,7 @@ import regex
 CACHED_PIECES = 1_000_000
 _STOPS = frozenset(",.")
 _ODD_SPACE = re.compile(r"[^\S \n]").search
+_LINE_END = re.compile(r"\S+\n\S+").fullmatch  # no pre-token crosses a single line's end between characters that are no white space
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 # The pre-token pattern of byte-level BPE, as the tokenizers library has it.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,6 +61,9 @@ class Encoder(dict):
             shape = json.load(f)
         pre, norm = shape.get("pre_tokenizer") or {}, shape.get("normalizer")
         self.added = [t["content"] for t in shape.get("added_tokens", [])]
+        to_library = ["[^\0-\xff]", *map(re.escape, filter(None, self.added))]
+        self.special = re.compile("|".join(to_library)).search  # what pieces are not cut into pre-tokens here
+        self.heads: dict[str, bytes] = {}
         plain = shape["model"].get("type") == "BPE" and not shape["model"].get("dropout") and all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not re.search(r"\s", t["content"]) for t in shape["added_tokens"])
         self.kind = "whole"
         if plain and pre.get("type") == "ByteLevel" and not norm and not pre["add_prefix_space"] and pre["use_regex"]:
@@ -84,12 +88,15 @@ class Encoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         text = self.space + piece
-        if piece and max(piece) > "\xff" or any(a in text for a in self.added):
+        if self.special(text):
             found = self._library(text)
         elif piece.isalpha():
             found = self._letters(piece)
         elif piece[-1:] in _STOPS and piece[:-1].isalpha():
             found = (self.get(piece[:-1]) or self._letters(piece[:-1])) + self._part(piece[-1])
+        elif self.space and _LINE_END(piece):
+            left, right = piece.split("\n")
+            found = self[left] + self._part("\n") + self._head(right)
         else:
             if not self.space:
                 text = self.tokenizer.normalizer.normalize_str(text)
@@ -125,10 +132,20 @@ class Encoder(dict):
         return self._head(cut[0]), cut[1:]
 
     def _head(self, piece: str) -> bytes:
-        """The first piece has no space before it."""
-        if piece and max(piece) > "\xff" or any(a in piece for a in self.added):
-            return self._library(piece)
-        return b"".join([self._part(p) for p in self.pattern.findall(piece)])
+        """The first piece, and what follows a line's end, has no space before it."""
+        found = self.heads.get(piece)
+        if found is None:
+            if self.special(piece):
+                found = self._library(piece)
+            elif piece.isalpha():
+                found = self._part(piece)
+            elif piece[-1:] in _STOPS and piece[:-1].isalpha():
+                found = self._part(piece[:-1]) + self._part(piece[-1])
+            else:
+                found = b"".join([self._part(p) for p in self.pattern.findall(piece)])
+            if len(piece) < 64 and len(self.heads) < CACHED_PIECES // 4:
+                self.heads[piece] = found
+        return found
 
     def encode(self, text: str) -> bytes:
         """Ids of the whole text."""
