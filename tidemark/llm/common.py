@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -88,6 +90,17 @@ def bounded_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def give_back(encoders: bool = True) -> None:
+    """For the start of a task: what earlier stages left in its Python worker goes, their encoders (unless wanted) and freed memory that the allocators still hold."""
+    encoding = sys.modules.get("tidemark.llm.encoding")
+    if encoders and encoding:
+        encoding.encoder.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 FILTER_BITS = 1 << 24
 
 

@@ -106,24 +106,28 @@ class Index:
 
     def search(self, texts: list[str | None], threshold: float) -> Iterator[tuple[int, int, int, int]]:
         """(text number, item number, shingles of the item, shared) for every containment of at least the threshold."""
-        words = [words_of(t) for t in texts]
-        start = 0
-        while start < len(words):
-            end, total = start, 0
-            while end < len(words) and (end == start or total + len(words[end]) < 1 << 15):
-                total += len(words[end])
-                end += 1
-            of: dict[int, list[int]] = defaultdict(list)
-            for d, k in self.candidates([shingle_hashes(w, self.n) for w in words[start:end]]):
-                of[d].append(k)
-            for d, ks in of.items():
-                own = shingle_set(words[start + d], self.n)
-                for k in sorted(ks):
-                    s = self.items[k][1]
-                    shared = len(s & own)
-                    if shared >= threshold * len(s):
-                        yield start + d, k, len(s), shared
-            start = end
+        start, total, words = 0, 0, []  # words of the texts from start on, of a few at a time
+        for t in texts:
+            w = words_of(t)
+            if words and total + len(w) >= 1 << 15:
+                yield from self._search(start, words, threshold)
+                start, total, words = start + len(words), 0, []
+            words.append(w)
+            total += len(w)
+        if words:
+            yield from self._search(start, words, threshold)
+
+    def _search(self, start: int, words: list[list[bytes]], threshold: float) -> Iterator[tuple[int, int, int, int]]:
+        of: dict[int, list[int]] = defaultdict(list)
+        for d, k in self.candidates([shingle_hashes(w, self.n) for w in words]):
+            of[d].append(k)
+        for d, ks in of.items():
+            own = shingle_set(words[d], self.n)
+            for k in sorted(ks):
+                s = self.items[k][1]
+                shared = len(s & own)
+                if shared >= threshold * len(s):
+                    yield start + d, k, len(s), shared
 
 
 def _blocks(spark: SparkSession, benchmark: DataFrame, block_items: int):
@@ -140,6 +144,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, w
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
+            common.give_back()
             index = Index(shared.value, words, hashes)
             for batch in batches:
                 ids, text = common.columns(batch, "doc_id", "text")
@@ -162,6 +167,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
+            common.give_back()
             index = Index(shared.value, words, hashes)
             for batch in batches:
                 bad = {d for d, *_ in index.search(batch.column(at).to_pylist(), threshold)}

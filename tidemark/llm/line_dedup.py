@@ -54,6 +54,7 @@ def _lines(depth: int):
     schema = pa.schema([("leaf", pa.int64()), ("t", pa.int64()), ("rid", pa.int64()), ("line", pa.int64()), ("fresh", pa.int32())])
 
     def run(batches):
+        common.give_back()
         for batch in batches:
             out = []
             for rid, text in zip(*common.columns(batch, "rid", "text"), strict=True):
@@ -245,6 +246,7 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, min_docs
     at, sized = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def rewrite(batches):
+        common.give_back()
         for batch in batches:
             cols = list(batch.columns[:-1])
             kept = [_kept(text or "", gone)[0] for text, gone in zip(cols[at].to_pylist(), batch.column(len(cols)).to_pylist(), strict=True)]

@@ -66,6 +66,7 @@ def _digests(words: int):
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int32()), ("sketch", pa.binary())])
 
     def run(batches):
+        common.give_back()
         for batch in batches:
             out = []
             for rid, doc_id, text in zip(*common.columns(batch, "rid", "doc_id", "text"), strict=True):
@@ -91,6 +92,7 @@ def _prefixes(words: int, similarity: float, often: np.ndarray):
     schema = pa.schema([("s", pa.int64()), ("rid", pa.int64()), ("n", pa.int32()), ("i", pa.int32())])
 
     def run(batches):
+        common.give_back()
         for batch in batches:
             made = []
             for rid, text in zip(*common.columns(batch, "rid", "text"), strict=True):
@@ -161,6 +163,7 @@ def _sets(words: int):
     schema = pa.schema([("rid", pa.int64()), ("own", pa.list_(pa.int64()))])
 
     def run(batches):
+        common.give_back()
         for batch in batches:
             out, values = [], 0
             for rid, text in zip(*common.columns(batch, "rid", "text"), strict=True):

@@ -66,6 +66,7 @@ def _pieces(path: str, capacity: int, end_id: int):
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
+        common.give_back(encoders=False)
         e = encoder(path)
         end = np.array([end_id], e.code).tobytes()
         for batch in batches:

@@ -49,6 +49,7 @@ def _fingerprinted(keys: DataFrame, words: int) -> DataFrame:
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
+        common.give_back()
         for batch in batches:
             fp = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), pa.array(fp)], schema=schema)

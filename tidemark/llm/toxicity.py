@@ -78,6 +78,7 @@ def _counts(grams, bits):
     schema = pa.schema([("feature", pa.int32()), ("pos", pa.int64()), ("neg", pa.int64()), ("docs_pos", pa.int64()), ("docs_neg", pa.int64())])
 
     def run(batches):
+        common.give_back()
         n, seen = np.zeros((2, 1 << bits), np.int64), [0, 0]
         for batch in batches:
             for text, y in zip(*common.columns(batch, "text", "y"), strict=True):
@@ -183,6 +184,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("score", pa.float64())])
 
     def run(batches):
+        common.give_back()
         at, values, bias, grams, bits = shared.value
         weight = np.zeros(1 << bits)
         weight[at] = values
@@ -207,6 +209,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast((at, model.weight[at], model.bias, model.grams, model.bits))
 
     def run(batches):
+        common.give_back()
         at, values, bias, grams, bits = shared.value
         weight = np.zeros(1 << bits)
         weight[at] = values
