@@ -19,8 +19,9 @@ import regex
 
 CACHED_PIECES = 1_000_000
 _STOPS = frozenset(",.")
-_ODD_SPACE = re.compile(r"[^\S \n]").search
+_ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")  # all white space there is
 _LINE_END = re.compile(r"\S+\n\S+").fullmatch  # no pre-token crosses a single line's end between characters that are no white space
+_PUNCTUATED = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)").fullmatch  # a word and other signs than an apostrophe: two pre-tokens
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 # The pre-token pattern of byte-level BPE, as the tokenizers library has it.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -63,6 +64,8 @@ class Encoder(dict):
         self.added = [t["content"] for t in shape.get("added_tokens", [])]
         to_library = ["[^\0-\xff]", *map(re.escape, filter(None, self.added))]
         self.special = re.compile("|".join(to_library)).search  # what pieces are not cut into pre-tokens here
+        self.simple = all(re.search("[^A-Za-z]", t) for t in self.added)  # no special string is a word
+        self.model_tokens = self.tokenizer.model.tokenize  # bound once: each look at `model` makes a new object
         self.heads: dict[str, bytes] = {}
         plain = shape["model"].get("type") == "BPE" and not shape["model"].get("dropout") and all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not re.search(r"\s", t["content"]) for t in shape["added_tokens"])
         self.kind = "whole"
@@ -80,13 +83,20 @@ class Encoder(dict):
         """Ids of one pre-token."""
         found = self.parts.get(part)
         if found is None:
-            ids = [t.id for t in self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
+            ids = [t.id for t in self.model_tokens(part.encode().decode("latin-1").translate(self.letters))]
             found = array(self.code, ids).tobytes()
             if len(part) < 8 and len(self.parts) < CACHED_PIECES // 4:
                 self.parts[part] = found
         return found
 
     def __missing__(self, piece: str) -> bytes:
+        found = self._letters(piece) if self.simple and piece.isascii() and piece.isalpha() else self._mixed(piece)
+        if len(self) < CACHED_PIECES and len(piece) < 64:
+            self[piece] = found
+        return found
+
+    def _mixed(self, piece: str) -> bytes:
+        """Ids of any piece."""
         text = self.space + piece
         if self.special(text):
             found = self._library(text)
@@ -94,6 +104,9 @@ class Encoder(dict):
             found = self._letters(piece)
         elif piece[-1:] in _STOPS and piece[:-1].isalpha():
             found = (self.get(piece[:-1]) or self._letters(piece[:-1])) + self._part(piece[-1])
+        elif self.space and (two := _PUNCTUATED(piece)):
+            word, signs = two.groups()
+            found = (self.get(word) or self._letters(word)) + self._part(signs)
         elif self.space and _LINE_END(piece):
             left, right = piece.split("\n")
             found = self[left] + self._part("\n") + self._head(right)
@@ -101,15 +114,13 @@ class Encoder(dict):
             if not self.space:
                 text = self.tokenizer.normalizer.normalize_str(text)
             found = b"".join([self._word(p) for p in self.pattern.findall(text)])
-        if len(self) < CACHED_PIECES and len(piece) < 64:
-            self[piece] = found
         return found
 
     def _letters(self, word: str) -> bytes:
         """Ids of a word of Latin-1 letters: one pre-token, its composed form already, lower-cased letter by letter."""
         if not word.isascii():
             return self._part(" " + word if self.space else word.lower())
-        ids = [t.id for t in self.tokenizer.model.tokenize("\u0120" + word if self.space else word.lower())]
+        ids = [t.id for t in self.model_tokens("\u0120" + word if self.space else word.lower())]
         return array(self.code, ids).tobytes()
 
     def _word(self, part: str) -> bytes:
@@ -127,7 +138,7 @@ class Encoder(dict):
         """What goes first as it is, and the pieces that follow."""
         if self.kind == "spaceless":
             return b"", text.replace("\n", " ").split(" ")
-        odd = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _ODD_SPACE(text)
+        odd = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or any([c in text for c in _ODD_SPACES])
         cut = _SPLIT.split(text) if odd else text.split(" ")
         return self._head(cut[0]), cut[1:]
 

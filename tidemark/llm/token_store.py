@@ -32,6 +32,8 @@ DIGEST = 20
 CUT_BITS, LEAST, MOST = 9, 64, 4096
 SEEN = 500_000
 END_ID = 2
+_ROLL = [(step, np.uint32(pow(0x01000193, step, 1 << 32))) for step in (1, 2, 4)]
+_SPREAD = np.uint32(0x9E3779B1)
 _OBJECTS = "deal long, key binary, payload binary, rid long, doc_id long, n_tokens long, digests binary, root binary"
 _RECIPES = "part int, rid long, doc_id long, within long, n_tokens long, digests binary, root binary"
 _MANIFEST = "part int, n_docs long, n_tokens long, root binary, start long"
@@ -51,13 +53,14 @@ def merkle(leaves: list[bytes]) -> bytes:
 
 def cuts(ids: np.ndarray, bits: int = CUT_BITS, least: int = LEAST, most: int = MOST) -> list[int]:
     """Ends of the chunks: after eight ids whose rolling hash starts with `bits` zeros, no chunk but the last shorter than `least`, none longer than `most`."""
-    n, base = len(ids), 0x01000193
+    n = len(ids)
     found: list[int] = []
     if n > 8:
         h = ids.astype(np.uint32)
-        for step in (1, 2, 4):
-            h = h[: len(h) - step] * np.uint32(pow(base, step, 1 << 32)) + h[step:]
-        h *= np.uint32(0x9E3779B1)
+        for step, factor in _ROLL:
+            h, left = h[step:], h[:-step] * factor
+            h = np.add(left, h, out=left)
+        h *= _SPREAD
         found = (np.flatnonzero(h < np.uint32(1 << (32 - bits))) + 8).tolist()
     out, start = [], 0
     for at in [*found, n]:
