@@ -3,6 +3,7 @@
 A text is cut before single spaces between two characters that are no white space. No pre-token, merge, normalisation or special string
 crosses such a place in the two supported tokenizer layouts, so the ids of the pieces, one after the other, are those of the text.
 Each distinct piece is encoded once by a process, up to a bounded number of remembered pieces. Other layouts are encoded whole.
+Where single spaces and single line ends are all the white space, a text is cut before line ends, too. `encode_many` cuts many such texts at once by Arrow.
 
 Pieces of Latin-1 characters are cut into pre-tokens here; there the classes of letters, digits and white space are settled. Any piece with another
 character goes to the library itself, whose Unicode tables are older than Python's.
@@ -13,13 +14,19 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 CACHED_PIECES = 1_000_000
+BLOCK = 8_000_000
 _STOPS = frozenset(",.")
+_STARTS = ("\n", "\t")  # before a piece without a space before it: after a line's end, at the start of a text
 _ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")  # all white space there is
+_NOT_PLAIN = rf"\A[ \n]|[ \n]\z|[ \n][ \n]|[{''.join(_ODD_SPACES)}]"  # not _spaced or not _lined, for Arrow
 _LINE_END = re.compile(r"\S+\n\S+").fullmatch  # no pre-token crosses a single line's end between characters that are no white space
 _PUNCTUATED = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)").fullmatch  # a word and other signs than an apostrophe: two pre-tokens
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
@@ -43,6 +50,16 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def _spaced(text: str) -> bool:
+    """Whether all white space but line ends is single spaces between characters that are none."""
+    return not ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or any([c in text for c in _ODD_SPACES]))
+
+
+def _lined(text: str) -> bool:
+    """Whether its line ends are single ones inside; of several, those before a special string are one pre-token."""
+    return not ("\n\n" in text or text[0] == "\n" or text[-1] == "\n")
+
+
 class Encoder(dict):
     """Maps a piece to its ids, as the bytes of native unsigned integers of `width` bytes."""
 
@@ -64,7 +81,7 @@ class Encoder(dict):
         self.added = [t["content"] for t in shape.get("added_tokens", [])]
         to_library = ["[^\0-\xff]", *map(re.escape, filter(None, self.added))]
         self.special = re.compile("|".join(to_library)).search  # what pieces are not cut into pre-tokens here
-        self.simple = all(re.search("[^A-Za-z]", t) for t in self.added)  # no special string is a word
+        self.simple = all(re.search("[^A-Za-z,.]", t) for t in self.added)  # no special string is a word, with or without a stop
         self.model_tokens = self.tokenizer.model.tokenize  # bound once: each look at `model` makes a new object
         self.heads: dict[str, bytes] = {}
         plain = shape["model"].get("type") == "BPE" and not shape["model"].get("dropout") and all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not re.search(r"\s", t["content"]) for t in shape["added_tokens"])
@@ -90,23 +107,25 @@ class Encoder(dict):
         return found
 
     def __missing__(self, piece: str) -> bytes:
-        found = self._letters(piece) if self.simple and piece.isascii() and piece.isalpha() else self._mixed(piece)
-        if len(self) < CACHED_PIECES and len(piece) < 64:
-            self[piece] = found
-        return found
-
-    def _mixed(self, piece: str) -> bytes:
-        """Ids of any piece."""
+        if self.simple and piece.isascii():
+            if piece.isalpha():
+                found = self._letters(piece)
+                if len(self) < CACHED_PIECES and len(piece) < 64:
+                    self[piece] = found
+                return found
+            if piece[-1:] in _STOPS and piece[:-1].isalpha():
+                return self._signed(piece, piece[:-1], piece[-1])
+        if self.space and piece.startswith(_STARTS):  # of a text whose lines were parted
+            return (self._part("\n") if piece[0] == "\n" else b"") + self._head(piece[1:])
         text = self.space + piece
         if self.special(text):
             found = self._library(text)
         elif piece.isalpha():
             found = self._letters(piece)
         elif piece[-1:] in _STOPS and piece[:-1].isalpha():
-            found = (self.get(piece[:-1]) or self._letters(piece[:-1])) + self._part(piece[-1])
+            return self._signed(piece, piece[:-1], piece[-1])
         elif self.space and (two := _PUNCTUATED(piece)):
-            word, signs = two.groups()
-            found = (self.get(word) or self._letters(word)) + self._part(signs)
+            return self._signed(piece, *two.groups())
         elif self.space and _LINE_END(piece):
             left, right = piece.split("\n")
             found = self[left] + self._part("\n") + self._head(right)
@@ -114,6 +133,15 @@ class Encoder(dict):
             if not self.space:
                 text = self.tokenizer.normalizer.normalize_str(text)
             found = b"".join([self._word(p) for p in self.pattern.findall(text)])
+        if len(self) < CACHED_PIECES and len(piece) < 64:
+            self[piece] = found
+        return found
+
+    def _signed(self, piece: str, word: str, signs: str) -> bytes:
+        """Ids of a word, which is remembered by itself, and what follows it; late ones are put together again each time."""
+        found = self[word] + self._part(signs)
+        if len(self) < CACHED_PIECES // 2 and len(piece) < 64:
+            self[piece] = found
         return found
 
     def _letters(self, word: str) -> bytes:
@@ -138,8 +166,10 @@ class Encoder(dict):
         """What goes first as it is, and the pieces that follow."""
         if self.kind == "spaceless":
             return b"", text.replace("\n", " ").split(" ")
-        odd = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or any([c in text for c in _ODD_SPACES])
-        cut = _SPLIT.split(text) if odd else text.split(" ")
+        if not _spaced(text):
+            cut = _SPLIT.split(text)
+        else:
+            cut = (text.replace("\n", " \n") if _lined(text) else text).split(" ")
         return self._head(cut[0]), cut[1:]
 
     def _head(self, piece: str) -> bytes:
@@ -167,6 +197,38 @@ class Encoder(dict):
         head, rest = self.pieces(text)
         return head + b"".join(map(self.__getitem__, rest))
 
+    def encode_many(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """encode for each text; plain texts are cut together, so that each distinct piece of BLOCK characters is looked up once."""
+        block, size = [], 0
+        for text in texts:
+            block.append(text)
+            size += len(text)
+            if size >= BLOCK:
+                yield from self._block(block)
+                block, size = [], 0
+        yield from self._block(block)
+
+    def _block(self, texts: list[str]) -> Iterator[bytes]:
+        together = [self.kind == "spaced" and 0 < len(t) < BLOCK for t in texts]
+        if any(together):
+            odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _NOT_PLAIN).to_pylist()
+            together = [own and not other for own, other in zip(together, odd, strict=True)]
+        lines = ["\t" + t.replace("\n", " \n") for t, own in zip(texts, together, strict=True) if own]
+        if lines:
+            pieces = pc.split_pattern(pa.array([" ".join(lines)], pa.large_string()), " ").flatten().dictionary_encode()
+            ids = pa.array(list(map(self.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False))), pa.large_binary()).take(pieces.indices)
+            _, places, body = ids.buffers()
+            places = memoryview(places).cast("q")
+            body = memoryview(body or b"")
+        at = start = 0
+        for text, own in zip(texts, together, strict=True):
+            if own:
+                at += text.count(" ") + text.count("\n") + 1
+                yield bytes(body[start : places[at]])
+                start = places[at]
+            else:
+                yield self.encode(text)
+
     def count(self, text: str) -> int:
         return len(self.encode(text)) // self.width
 

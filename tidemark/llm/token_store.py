@@ -105,8 +105,9 @@ def _objects(path: str, end_id: int):
         end = np.array([end_id], e.code).tobytes()
         for batch in batches:
             out, size = [], 0
-            for rid, doc_id, text in zip(*common.columns(batch, "rid", "doc_id", "text"), strict=True):
-                ids = np.frombuffer(e.encode(text) + end, e.code).astype(wire, copy=False)
+            rids, doc_ids, texts = common.columns(batch, "rid", "doc_id", "text")
+            for rid, doc_id, made in zip(rids, doc_ids, e.encode_many(texts), strict=True):
+                ids = np.frombuffer(made + end, e.code).astype(wire, copy=False)
                 body, names, start = ids.tobytes(), [], 0
                 for at in cuts(ids):
                     part = body[start * e.width : at * e.width]
