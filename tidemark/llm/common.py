@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir
+from tidemark.session import bounded_batches, shared_dir, small_batches  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,31 +65,6 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             at.getFileSystem(conf).delete(at, True)
 
 
-BATCH_BYTES = 8 << 20
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Sets the session's limit on the bytes of an Arrow batch to BATCH_BYTES: a task holds a batch several times over as Python objects.
-
-    The number of rows alone would not bound it where texts are long; a single longer text is a batch of its own.
-    """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(name) != f"{BATCH_BYTES}b":
-        spark.conf.set(name, f"{BATCH_BYTES}b")
-
-
-@contextmanager
-def bounded_batches(spark: SparkSession) -> Iterator[None]:
-    """small_batches for what runs inside; behind it the session's setting is as it was."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    small_batches(spark)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def give_back(encoders: bool = True) -> None:
     """For the start of a task: what earlier stages left in its Python worker goes, their encoders (unless wanted) and freed memory that the allocators still hold."""
     encoding = sys.modules.get("tidemark.llm.encoding")
