@@ -3,7 +3,8 @@
 Titles travel to their buckets as texts, once for each bucket with company; there pairs are cut by the sizes of their sets and by sketches
 (a bit for each place where a gram falls), both without loss, and the sets of the rest decide. A bucket of any size is compared whole: one of
 over BLOCK titles is dealt into blocks, and each pair of blocks is a group of its own, so no task holds more than two blocks at a time.
-Titles that a group has linked already are not compared again in it, so a large group of near copies makes no square.
+Titles that a group has linked already are not compared again in it, so a large group of near copies makes no square. Where pairs are counted, all
+are, of buckets of any size, and each one where its titles meet first: titles then bring their hashes of the bands before.
 """
 
 from __future__ import annotations
@@ -36,9 +37,13 @@ def _folded():
     return fold(F.coalesce("title", F.lit(""))).alias("folded")
 
 
+def _chunk(band: int, rows: int):
+    return F.xxhash64(F.slice("sig", band * rows + 1, rows))
+
+
 def _chunks(signed: DataFrame, bands: int, rows: int) -> DataFrame:
     """key, band, chunk: each title under the hash of each of its bands."""
-    chunks = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("sig", b * rows + 1, rows)).alias("chunk")) for b in range(bands)])
+    chunks = F.array(*[F.struct(F.lit(b).alias("band"), _chunk(b, rows).alias("chunk")) for b in range(bands)])
     return signed.select("key", F.explode(chunks).alias("x")).select("key", "x.*")
 
 
@@ -110,15 +115,16 @@ class Side:
         return self.made[power, narrow]
 
 
-def _possible(left: Side, i: int, right: Side, lo: int, hi: int, label: np.ndarray, threshold: float):
-    """Places in `right`, from lo to hi, of rows in other classes whose sketches allow the similarity with row i of `left`."""
+def _possible(left: Side, i: int, right: Side, lo: int, hi: int, wanted: np.ndarray, threshold: float):
+    """Places in `right`, from lo to hi, of wanted rows (one flag for each place from lo) whose sketches allow the similarity with row i of `left`."""
+    from_ = lo
     n, power = left.n[i], int(left.power[i])
     start, own, excess = left.sketches(power, power)
     own, excess = own[i - start], excess[i - start]
     while lo < hi:
         first, m, more = right.sketches(int(right.power[lo]), power)
         end = min(hi, first + len(m))
-        at = lo + np.flatnonzero(label[right.at[lo:end]] != label[left.at[i]])
+        at = lo + np.flatnonzero(wanted[lo - from_ : end - from_])
         step = max(1, _CHUNK // m.shape[1])
         for k in range(0, len(at), step):
             some = at[k : k + step]
@@ -128,8 +134,22 @@ def _possible(left: Side, i: int, right: Side, lo: int, hi: int, label: np.ndarr
         lo = end
 
 
-def similar_pairs(sides: list[Side], rows: int, threshold: float, every: bool):
-    """Similar pairs of rows of one side, or across two: all, or as many as link the rows that all of them link."""
+class Fresh:
+    """Which pairs of a group's rows meet in it first, by their hashes of the bands before, (bands, rows); `count` of the pairs asked for did."""
+
+    def __init__(self, earlier: np.ndarray):
+        self.earlier, self.count = earlier, 0
+
+    def __call__(self, a: int, others: np.ndarray) -> np.ndarray:
+        met = np.zeros(len(others), bool)
+        for hashes in self.earlier:
+            met |= hashes[others] == hashes[a]
+        self.count += len(met) - int(np.count_nonzero(met))
+        return ~met
+
+
+def similar_pairs(sides: list[Side], rows: int, threshold: float, every: bool, fresh: Fresh | None = None):
+    """Similar pairs of rows of one side, or across two: all (with fresh: all that are), or as many as link the rows that all of them link."""
     label, sets = np.arange(rows), {}
 
     def grams(side, k):
@@ -144,7 +164,8 @@ def similar_pairs(sides: list[Side], rows: int, threshold: float, every: bool):
             lo = i + 1 if right is left else int(np.searchsorted(right.n, n, "right" if turn else "left"))
             hi = int(np.searchsorted(right.n, n / threshold + _SLACK, "right"))
             a = left.at[i]
-            for j in _possible(left, i, right, lo, hi, label, threshold):
+            wanted = fresh(a, right.at[lo:]) if fresh else label[right.at[lo:hi]] != label[a]
+            for j in _possible(left, i, right, lo, hi, wanted, threshold):
                 b = right.at[j]
                 if label[a] == label[b]:
                     continue
@@ -181,44 +202,54 @@ def _groups(batches):
         yield pa.Table.from_batches(held)
 
 
-def _compare(threshold: float, limit: int, every: bool):
-    """Pairs of groups: links, and for buckets within the limit, where every is set, all pairs with whether they are similar."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("within", pa.bool_()), ("similar", pa.bool_())])
+def _compare(threshold: float, every: bool):
+    """Links (a, b) of groups and, where every is set, a row for each group: how many pairs meet in it first, and how many of these are similar."""
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "candidates", "confirmed")])
 
-    def batch(a, b, within, similar):
+    def batch(a, b, counts):
         a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(a), within)), pa.array(similar)], schema=schema)
+        none, more = pa.nulls(len(a), pa.int64()), [pa.array([c], pa.int64()) for c in counts]
+        nodes = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+        cols = [pa.concat_arrays([x, pa.nulls(1, pa.int64())]) for x in nodes] + [pa.concat_arrays([none, m]) for m in more] if more else [*nodes, none, none]
+        return pa.RecordBatch.from_arrays(cols, schema=schema)
 
     def run(batches):
         for group in _groups(batches):
             key, n, block = (group.column(c).to_numpy() for c in ("key", "n", "block"))
-            texts, within = group.column("folded").to_pylist(), every and group.column("size")[0].as_py() <= limit
+            texts = group.column("folded").to_pylist()
             sides = [np.flatnonzero(block == v) for v in np.unique(block)]
             if group.column("x")[0].as_py() != group.column("y")[0].as_py() and len(sides) < 2:
                 continue
             sides = [Side(at, n[at], [texts[k] for k in at]) for at in sides]
-            found = [*similar_pairs(sides, len(key), threshold, within)]
-            if within:
-                a, b = np.triu_indices(len(key), 1)
-                similar = np.zeros((len(key), len(key)), bool)
-                for x, y in found:
-                    similar[x, y] = similar[y, x] = True
-                yield batch(key[a], key[b], True, similar[a, b])
-            elif found:
-                yield batch(key[[x for x, _ in found]], key[[y for _, y in found]], False, np.ones(len(found), bool))
+            if not every:
+                found = [*similar_pairs(sides, len(key), threshold, False)]
+                if found:
+                    yield batch(key[[x for x, _ in found]], key[[y for _, y in found]], ())
+                continue
+            earlier = group.column("earlier").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
+            fresh, label, links, confirmed = Fresh(np.ascontiguousarray(earlier.T)), np.arange(len(key)), [], 0
+            for x, y in similar_pairs(sides, len(key), threshold, True, fresh):
+                confirmed += 1
+                if label[x] != label[y]:
+                    links.append((x, y))
+                    label[label == label[y]] = label[x]
+            yield batch(key[[x for x, _ in links]], key[[y for _, y in links]], (fresh.count, confirmed))
 
     return run
 
 
 def compared(signed: DataFrame, threshold: float, bucket: tuple[int, int], large: bool, every: bool) -> DataFrame:
-    """a, b, within, similar from titles (key as a number, folded, sig, n); see _compare."""
+    """a, b, candidates, confirmed from titles (key as a number, folded, sig, n); see _compare."""
     placed = written(_chunks(signed, BANDS, ROWS), "bands")
     sizes = _sizes(placed).where(F.col("size") >= bucket[0] if large else F.col("size").between(*bucket))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     met = placed.join(sizes, ["band", "chunk"]).withColumns({"block": F.pmod(F.xxhash64("key"), blocks).cast("int"), "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    met = met.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other")
-    met = met.join(signed.select("key", "folded", "n"), "key").repartition(*_BUCKET).sortWithinPartitions(*_BUCKET)
-    return written(met.mapInArrow(_compare(threshold, bucket[1], every), "a long, b long, within boolean, similar boolean"), "compared")
+    met = met.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other", "size")
+    titles = signed.select("key", "folded", "n", *([F.array(*[_chunk(b, ROWS) for b in range(BANDS)]).alias("chunks")] if every else []))
+    met = met.join(titles, "key")
+    met = met.withColumn("earlier", F.slice("chunks", F.lit(1), F.col("band"))).drop("chunks") if every else met
+    met = met.repartition(*_BUCKET).sortWithinPartitions(*_BUCKET)
+    return written(met.mapInArrow(_compare(threshold, every), "a long, b long, candidates long, confirmed long"), "compared")
 
 
 def cluster(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, int] = BUCKET, large: bool = True) -> DataFrame:
@@ -227,16 +258,16 @@ def cluster(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, in
 
 
 def clustered(rows: DataFrame, threshold: float = THRESHOLD, bucket: tuple[int, int] = BUCKET, large: bool = True, every: bool = True) -> tuple[DataFrame, DataFrame]:
-    """The clusters, and where every is set the candidate pairs of buckets within the limit (a, b, similar) by numbers of titles."""
+    """The clusters, and where every is set one row of how many pairs of titles share a bucket and how many of these are similar."""
     titles = written(distinct_titles(rows), "titles").withColumn("id", F.monotonically_increasing_id())
     titles = written(titles, "numbered")
     pairs = compared(_signed(titles.select(F.col("id").alias("key"), "folded")), threshold, bucket, large, every)
-    found = components(pairs.where("similar").select("a", "b"))
+    found = components(pairs.where("a IS NOT NULL").select("a", "b"))
     of = written(titles.join(found, titles["id"] == found["node"], "left").select("folded", "key", F.coalesce("component", "id").alias("class")), "classes")
     least = of.groupBy("class").agg(F.min("key").alias("cluster_id"))
     of = of.join(least, "class").select("folded", "cluster_id")
-    candidates = pairs.where("within").select("a", "b", "similar").distinct()
-    return rows.select("key", _folded()).join(of, "folded").select("key", "cluster_id"), candidates
+    counts = pairs.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("candidates", "candidate_pairs"), ("confirmed", "confirmed_pairs"))])
+    return rows.select("key", _folded()).join(of, "folded").select("key", "cluster_id"), counts
 
 
 def report(clusters: DataFrame) -> DataFrame:
@@ -246,9 +277,8 @@ def report(clusters: DataFrame) -> DataFrame:
 
 def cluster_report(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row: candidate_pairs, confirmed_pairs, clusters and rows_in_a_cluster (of two rows and more), largest, false_candidate_rate."""
-    found, candidates = clustered(rows, threshold)
+    found, pairs = clustered(rows, threshold)
     sizes = found.groupBy("cluster_id").agg(F.count("*").alias("size")).where("size > 1")
     sizes = sizes.agg(F.count("*").alias("clusters"), F.coalesce(F.sum("size"), F.lit(0)).alias("rows_in_a_cluster"), F.coalesce(F.max("size"), F.lit(0)).alias("largest"))
-    pairs = candidates.agg(F.count("*").alias("candidate_pairs"), F.count_if("similar").alias("confirmed_pairs"))
     rate = F.when(F.col("candidate_pairs") > 0, 1 - F.col("confirmed_pairs") / F.col("candidate_pairs")).otherwise(F.lit(0.0))
     return pairs.join(sizes).withColumn("false_candidate_rate", rate)
